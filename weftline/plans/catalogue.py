@@ -2,5 +2,13 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from weftline.operators import timestamps
+from weftline.runtime import table
+
+
+def p3_found(spark, d):
+    return timestamps.normalised_times(table(spark, d, "docs"), table(spark, d, "feed_items"), table(spark, d, "feed_sources"))
+
+
+QUERIES: dict = {"p3_found": p3_found}
 SQL: dict = {}
