@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import pairs, terms
+from weftline.llm import encode, pairs, sentences, site_lines, terms
 from weftline.runtime import table
 
 
@@ -14,6 +14,23 @@ def p1_term_frequencies(spark, d):
     return terms.node_frequencies(table(spark, d, "baskets"))
 
 
+def p4_found(spark, d):
+    return sentences.inner_starts(table(spark, d, "docs"), table(spark, d, "baskets"))
+
+
+def p4_sentence_units(spark, d):
+    texts = sentences.corpus_texts(table(spark, d, "docs"), table(spark, d, "baskets"))
+    return sentences.sentence_units(texts)
+
+
+def p6_found(spark, d):
+    return site_lines.repeated_lines(table(spark, d, "docs"))
+
+
+def p6_cleaned_docs(spark, d):
+    return site_lines.without_repeated_lines(table(spark, d, "docs"))
+
+
 def p7_found(spark, d):
     return pairs.associated_pairs(table(spark, d, "baskets")).select("a", "b")
 
@@ -22,6 +39,10 @@ def p7_pair_scores(spark, d):
     return pairs.associated_pairs(table(spark, d, "baskets")).selectExpr("a", "b", "cooc", "round(npmi, 6) npmi")
 
 
+def p8_ids(spark, d):
+    return encode.token_ids(table(spark, d, "documents"))
+
+
 #: Fixed value: the full-width forms and their ASCII counterparts, which is all of NFKC that the ids in baskets need.
 WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
 ASCII = "".join(map(chr, range(0x21, 0x7F)))
@@ -45,14 +66,33 @@ scored as (select a, b, cooc, case when cooc = n then 1.0 else
    ln((cooc / n::double) / ((fa.df / n::double) * (fb.df / n::double))) / -ln(cooc / n::double) end as npmi
   from cooc join freq fa on fa.node_id = a join freq fb on fb.node_id = b, n where fa.df >= 4 and fb.df >= 4)
 """
+#: Fixed value: of NFKC, what the lines of docs hold beside full-width forms: half-width kana marks and such have no letters.
+_LETTERS = "regexp_replace(lower(translate(line, '" + WIDE + "', '" + ASCII.replace("'", "''") + "')), '[^\\p{L}]', '', 'g')"
+_SITE = f"""
+with one as (select doc_id, arg_min(source, path) as source, arg_min(body, path) as body from docs
+  where doc_id is not null and source is not null group by doc_id),
+lines as (select doc_id, source, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) as line_no from one where body is not null),
+keyed as (select doc_id, source, line_no, {_LETTERS} as k from lines),
+sizes as (select source, count(*) as n from one group by source),
+hit as (select source, k from keyed where k <> '' group by source, k
+  having count(distinct doc_id) >= 3),
+big as (select source, k, count(distinct doc_id) as c from keyed semi join hit using (source, k) group by source, k)
+select doc_id, cast(line_no as int) as line_no from keyed join big using (source, k) join sizes using (source) where c >= cast(0.15 as double) * n
+"""
 
 QUERIES = {
     "p1_found": p1_found,
     "p1_term_frequencies": p1_term_frequencies,
+    "p4_found": p4_found,
+    "p4_sentence_units": p4_sentence_units,
+    "p6_found": p6_found,
+    "p6_cleaned_docs": p6_cleaned_docs,
     "p7_found": p7_found,
+    "p8_ids": p8_ids,
     "p7_pair_scores": p7_pair_scores,
 }
 SQL = {
+    "p6_found": _SITE,
     "p1_found": _PAIRS + "select node_id, mark from marked where mark is not null",
     "p1_term_frequencies": _PAIRS + "select * from marked",
     "p7_found": _SCORED + "select a, b from scored where npmi >= 0.25",
