@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import encode, pairs, sentences, site_lines, terms
+from weftline.llm import boilerplate, encode, mixing, pairs, sentences, site_lines, terms
 from weftline.runtime import table
 
 
@@ -14,6 +14,18 @@ def p1_term_frequencies(spark, d):
     return terms.node_frequencies(table(spark, d, "baskets"))
 
 
+def _pages(spark, d):
+    return table(spark, d, "docs"), table(spark, d, "feed_items"), table(spark, d, "feed_sources")
+
+
+def p2_found(spark, d):
+    return boilerplate.page_furniture(*_pages(spark, d))
+
+
+def p2_main_bodies(spark, d):
+    return boilerplate.main_bodies(*_pages(spark, d))
+
+
 def p4_found(spark, d):
     return sentences.inner_starts(table(spark, d, "docs"), table(spark, d, "baskets"))
 
@@ -43,6 +55,17 @@ def p8_ids(spark, d):
     return encode.token_ids(table(spark, d, "documents"))
 
 
+def p9_draws(spark, d):
+    targets = table(spark, d, "mix_targets")
+    return mixing.draws(mixing.sized_documents(table(spark, d, "documents"), targets), targets)
+
+
+def p9_mix_shares(spark, d):
+    targets = table(spark, d, "mix_targets")
+    sized = mixing.sized_documents(table(spark, d, "documents"), targets)
+    return mixing.mix_shares(sized, mixing.draws(sized, targets), targets)
+
+
 #: Fixed value: the full-width forms and their ASCII counterparts, which is all of NFKC that the ids in baskets need.
 WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
 ASCII = "".join(map(chr, range(0x21, 0x7F)))
@@ -83,12 +106,16 @@ select doc_id, cast(line_no as int) as line_no from keyed join big using (source
 QUERIES = {
     "p1_found": p1_found,
     "p1_term_frequencies": p1_term_frequencies,
+    "p2_found": p2_found,
+    "p2_main_bodies": p2_main_bodies,
     "p4_found": p4_found,
     "p4_sentence_units": p4_sentence_units,
     "p6_found": p6_found,
     "p6_cleaned_docs": p6_cleaned_docs,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
+    "p9_draws": p9_draws,
+    "p9_mix_shares": p9_mix_shares,
     "p7_pair_scores": p7_pair_scores,
 }
 SQL = {
