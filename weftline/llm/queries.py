@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import boilerplate, encode, mixing, pairs, sentences, site_lines, terms
+from weftline.llm import boilerplate, encode, history, mixing, pairs, sentences, site_lines, terms
 from weftline.runtime import table
 
 
@@ -35,6 +35,10 @@ def p4_sentence_units(spark, d):
     return sentences.sentence_units(texts)
 
 
+def p5_found(spark, d):
+    return history.repeated_items(*_pages(spark, d))
+
+
 def p6_found(spark, d):
     return site_lines.repeated_lines(table(spark, d, "docs"))
 
@@ -110,6 +114,7 @@ QUERIES = {
     "p2_main_bodies": p2_main_bodies,
     "p4_found": p4_found,
     "p4_sentence_units": p4_sentence_units,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_cleaned_docs": p6_cleaned_docs,
     "p7_found": p7_found,
