@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import boilerplate, encode, history, mixing, pairs, sentences, site_lines, terms
+from weftline.llm import boilerplate, encode, history, mixing, pairs, pii, sentences, site_lines, terms
 from weftline.runtime import table
 
 
@@ -70,6 +70,14 @@ def p9_mix_shares(spark, d):
     return mixing.mix_shares(sized, mixing.draws(sized, targets), targets)
 
 
+def p10_found(spark, d):
+    return pii.personal_mentions(table(spark, d, "documents"), table(spark, d, "name_list")).select("doc_id", "kind", "start_pos")
+
+
+def p10_redacted(spark, d):
+    return pii.redacted_documents(table(spark, d, "documents"), table(spark, d, "name_list"))
+
+
 #: Fixed value: the full-width forms and their ASCII counterparts, which is all of NFKC that the ids in baskets need.
 WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
 ASCII = "".join(map(chr, range(0x21, 0x7F)))
@@ -121,6 +129,8 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_draws": p9_draws,
     "p9_mix_shares": p9_mix_shares,
+    "p10_found": p10_found,
+    "p10_redacted": p10_redacted,
     "p7_pair_scores": p7_pair_scores,
 }
 SQL = {
