@@ -136,9 +136,9 @@ class Analyser:
 
 
 def unit_rows(docs: DataFrame, unit: str = "sentence") -> DataFrame:
-    """(doc_id, date, unit, text) of docs (doc_id, title, body, date)."""
+    """(doc_id, date, unit, text) of docs (doc_id, title, body, date); a doc without body has no units."""
     text = S.analysis_text(F.col("title"), F.col("body"))
-    return docs.select("doc_id", "date", F.posexplode(S.units(text, unit)).alias("unit", "text"))
+    return docs.select("doc_id", "date", F.posexplode(S.units(text, unit)).alias("unit", "text")).where("text is not null")
 
 
 ANALYSED = "doc_id string, date string, unit int, text string, entities array<string>, runs array<array<array<string>>>"

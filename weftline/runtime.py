@@ -57,3 +57,9 @@ def cut(df: DataFrame, label: str = "table") -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df on all cores before a costly Python stage, where its scan has fewer partitions than there are cores; large scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
