@@ -105,6 +105,10 @@ class Names:
         return out
 
 
+_UP = np.arange(1, 33)
+_DOWN = _UP[::-1]
+
+
 class Coded:
     """Tokens of one long text with their features; sequences end at line feeds and sentence ends."""
 
@@ -142,30 +146,33 @@ class Coded:
                 breaks[cut] = True
                 a = cut
 
+    def _spans(self, pattern: re.Pattern) -> np.ndarray:
+        """First token and the one after the last of each match."""
+        found = [m.span() for m in pattern.finditer(self.text)]
+        return np.searchsorted(self.starts, np.array(found, np.int64).reshape(-1, 2))
+
     def _mark(self, pattern: re.Pattern, kind: int, flags: np.ndarray) -> None:
-        for m in pattern.finditer(self.text):
-            a, b = np.searchsorted(self.starts, (m.start(), m.end()))
+        for a, b in self._spans(pattern).tolist():
             if a < b:
                 flags[a:b] = kind * 2 + 1
                 flags[a] = kind * 2
 
     def _near(self, pattern: re.Pattern, forward: bool, reach: int) -> np.ndarray:
-        """Distance in tokens to the next (or from the last) match inside the sequence, in buckets; 0 for none."""
+        """Distance in tokens to the next (or from the last) match inside the sequence; 0 for none."""
         n = len(self.starts)
         out = np.zeros(n, np.int64)
-        for m in pattern.finditer(self.text):
-            a = int(np.searchsorted(self.starts, m.start()))
-            b = int(np.searchsorted(self.starts, m.end()))
-            if a >= n:
-                continue
-            if forward:
-                low = max(a - reach, int(self.first[self.sequence[a]]))
-                out[low:a] = np.arange(a - low, 0, -1)
-            else:
-                seq = self.sequence[min(a, n - 1)]
-                high = min(b + reach, int(self.first[seq] + self.length[seq]))
+        spans = self._spans(pattern)
+        spans = spans[spans[:, 0] < n]
+        at = self.sequence[spans[:, 0]]
+        if forward:
+            lows = np.maximum(spans[:, 0] - reach, self.first[at])
+            for a, low in zip(spans[:, 0].tolist(), lows.tolist()):
+                out[low:a] = _DOWN[-(a - low) :] if a > low else 0
+        else:
+            highs = np.minimum(spans[:, 1] + reach, (self.first + self.length)[at])
+            for b, high in zip(spans[:, 1].tolist(), highs.tolist()):
                 if high > b:
-                    out[b:high] = np.arange(1, high - b + 1)
+                    out[b:high] = _UP[: high - b]
         return out
 
     def _features(self, tokens: list[str], ids: np.ndarray, names: Names) -> np.ndarray:
@@ -190,9 +197,8 @@ class Coded:
         self._mark(NUMBER, 2, flags)
         digits = np.zeros(n, np.int64)
         forms = np.zeros(n, np.int64)
-        for m in NUMBER.finditer(self.text):
-            a, b = np.searchsorted(self.starts, (m.start(), m.end()))
-            value = m[0]
+        values = NUMBER.findall(self.text)
+        for (a, b), value in zip(self._spans(NUMBER).tolist(), values):
             digits[a:b] = sum(ch.isdigit() for ch in value)
             forms[a:b] = _hash("form" + re.sub(r"\d+", lambda d: str(len(d[0])), value))
         self._mark(EMAIL, 1, flags)
@@ -204,19 +210,11 @@ class Coded:
         gaz = names.flags(self.text, tokens, self.starts)
         blank = np.zeros(n, np.int64)
         blank[1:] = self.starts[1:] > self.ends[:-1]
-        cap = (script == 2) & (shape != 0)
         # the token after the run of name-like tokens
         namelike = (script >= 3) & (script <= 6)
-        follow = np.full(n, -7, np.int64)
-        run = -7
-        seq = self.sequence
-        for i in range(n - 1, -1, -1):
-            if i == n - 1 or seq[i + 1] != seq[i]:
-                run = -7
-            follow[i] = run
-            if not (namelike[i] and script[i] == 5):
-                run = word[i]
-        del cap
+        other = np.where(namelike & (script == 5), n, np.arange(n))
+        ahead = np.r_[np.minimum.accumulate(other[::-1])[::-1][1:], n]
+        follow = np.where(ahead < (self.first + self.length)[self.sequence], word[np.minimum(ahead, n - 1)], -7)
         w1, w2, w_1, w_2 = shift(word, 1), shift(word, 2), shift(word, -1), shift(word, -2)
         s1, s_1 = shift(shape, 1), shift(shape, -1)
         g1, g_1 = shift(gaz, 1), shift(gaz, -1)
