@@ -3,7 +3,7 @@
 Per partition, texts are cut into the tokenizer's words and words into pieces, at places no vocabulary entry can
 reach across, so no merge can either. Pieces not seen before go to DuckDB as (piece, position, token) rows; a
 recursive query joins them with the merge table and contracts each piece's pair of least rank, leftmost first, until
-no pair is left, and an ordered aggregation gives each piece its ids. There is no shuffle.
+no pair is left, and an ordered aggregation gives each piece its ids. There is no shuffle, but where a scan has fewer partitions than cores.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from weftline.runtime import spread
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Fixed value: the word pattern of this tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -192,11 +194,11 @@ def token_ids(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
     Spellings of special tokens are ordinary text. A lone surrogate can't occur in Spark's strings.
     """
-    return documents.select("doc_id", "text").mapInArrow(_encode(path, False), "doc_id bigint, ids array<int>")
+    return spread(documents.select("doc_id", "text"), "doc_id").mapInArrow(_encode(path, False), "doc_id bigint, ids array<int>")
 
 
 def token_counts(documents: DataFrame, columns: list[str], path: str = VOCABULARY) -> DataFrame:
     """The named columns and tokens, the number of ids; the ids themselves never leave the Python worker."""
     named = documents.select(*columns, "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema if f.name != "text")
-    return named.mapInArrow(_encode(path, True), f"{schema}, tokens bigint")
+    return spread(named, columns[0]).mapInArrow(_encode(path, True), f"{schema}, tokens bigint")

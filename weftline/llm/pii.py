@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from weftline.llm.pii_labels import HALLS, labelled_table
+from weftline.runtime import spread
 
 KINDS = ["email", "phone", "id_number", "address", "person"]
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
@@ -491,11 +492,11 @@ def _run(documents: DataFrame, name_list: DataFrame, redacting: bool, schema: st
     # the list of names is a fixed table; the model has DIMS x 11 weights whatever the input is
     names = [(r[0], r[1]) for r in name_list.select("name_text", "name_kind").where("name_text is not null").collect()]
     field = spark.sparkContext.broadcast(trained())
-    return documents.select("doc_id", "text").mapInArrow(_tag(field, names, redacting), schema)
+    return spread(documents.select("doc_id", "text"), "doc_id").mapInArrow(_tag(field, names, redacting), schema)
 
 
 def personal_mentions(documents: DataFrame, name_list: DataFrame) -> DataFrame:
-    """(doc_id, kind, start_pos, end_pos) of every mention in every text, copies too; no shuffle."""
+    """(doc_id, kind, start_pos, end_pos) of every mention in every text, copies too; no shuffle but where there are fewer partitions than cores."""
     return _run(documents, name_list, False, "doc_id bigint, kind string, start_pos int, end_pos int")
 
 
