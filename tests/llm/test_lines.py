@@ -114,3 +114,10 @@ def test_furniture_by_consensus(spark):
     found = {tuple(r) for r in boilerplate.page_furniture(spark.createDataFrame(docs, DOCS), items, src).collect()}
     assert found == want | {("item_body", "2", 1)}
     assert boilerplate.page_furniture(spark.createDataFrame([], DOCS), items.limit(0), src.limit(0)).count() == 0
+
+
+def test_sentences_without_a_blank_between():
+    parts = ["It is a model.", 'Maskumber asked, "Will it last?"', "Is it safe with 86 staff?", "The U.K. loan drew 2 letters (see p. 6).", "Kell & Co. did."]
+    assert cuts("".join(parts)) == parts
+    assert cuts("足りるだろうか!?ICT公開を組み込む。") == ["足りるだろうか!?", "ICT公開を組み込む。"]
+    assert cuts("https://a.example/x?Id=3 and St.Orvel") == ["https://a.example/x?Id=3 and St.Orvel"]

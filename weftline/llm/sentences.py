@@ -124,8 +124,10 @@ def _full_stop(line: str, at: int, after: int, start: int) -> bool:
     if after >= len(line):
         return True
     if after == at + 1:
-        # no blank: only where an ideographic script goes on after a letter of its own
-        return False
+        # no blank: a word or bracket ends, and a word with a capital begins
+        if not (at and (line[at - 1].islower() or line[at - 1] in ")）") and _capital_word(line, after)):
+            return False
+        return not _ends_with(_OPEN, line, at)
     before, follow = line[at - 1] if at else " ", line[after]
     if follow in ",;:、，)）]":
         return False
@@ -154,6 +156,17 @@ def _full_stop(line: str, at: int, after: int, start: int) -> bool:
     return not _lower(line, after)
 
 
+def _capital_word(line: str, at: int) -> bool:
+    """A capital and a small letter, after an opening mark or not; or a mixed name like eBook."""
+    word = line[max(0, at - 80) : at].rsplit(None, 1)
+    if word and ("://" in word[-1] or "www." in word[-1] or "@" in word[-1]):
+        return False  # inside an address
+    if at < len(line) and line[at] in "\"“«„":
+        at = _skip(line, at + 1)
+    two = line[at : at + 2]
+    return (len(two) == 2 and two[0].isupper() and (two[1].islower() or two[1] == " ")) or bool(_CAMEL.match(line, at))
+
+
 def _number_or_name(word: str, line: str, at: int, follow: str) -> bool:
     """Short words that are also ordinary ends: they count as abbreviations before a number, or in their usual case."""
     typed = line[at - len(word) : at]
@@ -218,7 +231,7 @@ def line_starts(line: str) -> list[int]:
             if line[close] in QUOTES and line[inner] in ALWAYS + NEED_BLANK and not thai:
                 after = _skip(line, close + 1)
                 if after < len(line) and line[after] not in ALWAYS + NEED_BLANK:
-                    if line[after].isupper() and after > close + 1 or (after > close + 1 and line[after].isdigit() and line[after - 1] in _BLANKS and line[close] in '"”“»'):
+                    if line[after].isupper() and after > close + 1 or after == close + 1 and _capital_word(line, after) or (after > close + 1 and line[after].isdigit() and line[after - 1] in _BLANKS and line[close] in '"”“»'):
                         starts.append(after)
                     elif _CJK.match(line[after]) and line[at] in "「『" and at == starts[-1] and not JA_GOES_ON.match(line, after):
                         starts.append(after)
@@ -260,7 +273,9 @@ def line_starts(line: str) -> list[int]:
                 starts.append(after)
         elif ch in "!?":
             near = (line[at - 1] if at else " ") + follow
-            if after > end and not _lower(line, after) and follow not in ",;:" or after == end and _CJK.search(near) and not follow.isascii():
+            if after > end and not _lower(line, after) and follow not in ",;:":
+                starts.append(after)
+            elif after == end and (_CJK.search(near) and (not follow.isascii() or follow.isupper()) or _capital_word(line, after)):
                 starts.append(after)
         elif after > end:
             starts.append(after)
