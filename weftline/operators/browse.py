@@ -103,7 +103,8 @@ def article_search(articles: DataFrame, node: str | None = None, source: str | N
         rows = rows.where(F.col("source") == source)
     if days is not None:
         latest = articles.agg(F.max(F.nullif("date", F.lit(""))).alias("latest"))
-        rows = rows.join(F.broadcast(latest)).where((F.col("date") != "") & (F.col("date") >= F.date_format(F.date_sub(F.try_to_date("latest", "yyyy-MM-dd"), days), "yyyy-MM-dd"))).drop("latest")
+        oldest = F.date_format(F.date_sub(F.try_to_date(F.col("latest"), "yyyy-MM-dd"), days), "yyyy-MM-dd")
+        rows = rows.withColumn("latest", latest.scalar()).where((F.col("date") != "") & (F.col("date") >= oldest)).drop("latest")
     if text:
         rows = rows.where(F.contains(haystack(labels), F.lit(text.lower())))
     return rows

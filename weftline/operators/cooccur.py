@@ -59,9 +59,9 @@ def pair_counts(baskets: DataFrame, recent: F.Column | None = None) -> DataFrame
 def prefilter_stats(baskets: DataFrame) -> DataFrame:
     """(n_baskets, n_nodes, n_edges) before any threshold; this is the one query that needs the unpruned pairs."""
     kept = usable(baskets)
-    return basket_count(baskets).withColumnRenamed("n", "n_baskets").join(
-        document_frequency(baskets).agg(F.count("*").alias("n_nodes")).join(pair_counts(kept).agg(F.count("*").alias("n_edges")))
-    )
+    n_nodes = document_frequency(baskets).agg(F.count("*").alias("n_nodes")).scalar()
+    n_edges = pair_counts(kept).agg(F.count("*").alias("n_edges")).scalar()
+    return basket_count(baskets).select(F.col("n").alias("n_baskets"), n_nodes.alias("n_nodes"), n_edges.alias("n_edges"))
 
 
 def edges(baskets: DataFrame, cfg: Config) -> DataFrame:
@@ -78,7 +78,7 @@ def score(counted: DataFrame, freq: DataFrame, total: DataFrame, cfg: Config) ->
         counted.join(freq.select(F.col("node").alias("a"), F.col("df").alias("df_a")), "a")
         .join(freq.select(F.col("node").alias("b"), F.col("df").alias("df_b")), "b")
         .where((F.col("df_a") >= cfg.min_df) & (F.col("df_b") >= cfg.min_df))
-        .join(F.broadcast(total))  # one row
+        .withColumn("n", total.scalar())
     )
     scored = joined.withColumn("score", S.npmi(F.col("cooc"), F.col("df_a"), F.col("df_b"), F.col("n"))).where(F.col("score") >= cfg.min_npmi)
     return scored.select("a", "b", "cooc", F.round("score", 4).alias("npmi"), F.round(S.jaccard(F.col("cooc"), F.col("df_a"), F.col("df_b")), 4).alias("jaccard"), *rest)

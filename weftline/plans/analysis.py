@@ -27,7 +27,7 @@ def bounded_graph(baskets: DataFrame, meta: DataFrame, cfg: Config) -> tuple[Dat
     group, between, place = graph.communities(near), graph.betweenness(near, cfg.betweenness_max_nodes), graph.layout(near, cfg.layout_iterations)
     extra = [(v, group[v], between[v], *place[v]) for v in near]
     added = spark.createDataFrame(extra, "id string, community int, betweenness double, x double, y double")
-    whole = nodes.join(F.broadcast(added), "id").join(F.broadcast(nodes.agg(F.max("df").alias("df_max"))))
+    whole = nodes.join(F.broadcast(added), "id").withColumn("df_max", nodes.agg(F.max("df").alias("df_max")).scalar())
     return cut(whole.withColumn("size", S.node_size(F.col("df"), F.col("df_max"))).drop("df_max"), "nodes"), scored
 
 

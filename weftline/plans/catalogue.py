@@ -216,8 +216,8 @@ def graph_node_table(spark, d):
 
 def node_sizes(spark, d):
     nodes = table(spark, d, "nodes").where("df >= 0")
-    top = nodes.agg(F.max("df").alias("df_max"))
-    return nodes.join(F.broadcast(top)).select("id", S.node_size(F.col("df"), F.col("df_max")).alias("size"), S.group_of(F.col("kind")).alias("node_group"))
+    top = nodes.agg(F.max("df").alias("df_max")).scalar()
+    return nodes.withColumn("df_max", top).select("id", S.node_size(F.col("df"), F.col("df_max")).alias("size"), S.group_of(F.col("kind")).alias("node_group"))
 
 
 # --- text analysis ------------------------------------------------------------------------------------------------
@@ -280,7 +280,7 @@ def recent_articles(spark, d):
 
 
 def article_period(spark, d):
-    return browse.period(_docs(spark, d)).join(browse.latest_date(_docs(spark, d)))
+    return browse.period(_docs(spark, d)).withColumn("latest", browse.latest_date(_docs(spark, d)).scalar())
 
 
 def visible_subgraph(spark, d):
