@@ -95,3 +95,14 @@ def test_marginals_of_gradient_training():
 
     small = train([("call Bob now", [(5, 8, "person")]), ("call it now", [])] * 20, Names([]), epochs=5)
     assert [[(k, a) for k, a, _ in r] for r in pii.mentions(["call Bob now", "call it now"], small, Names([]))] == [[("person", 5)], []]
+
+
+def test_no_row_is_lost_over_many_batches(spark, field):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        docs = spark.range(1, 1201).selectExpr("id as doc_id", "concat('Call 555-01', lpad(id % 100, 2, '0'), ' and ask for Ms Zerrockel.') as text").coalesce(1)
+        names = spark.createDataFrame([], "name_id int, name_text string, name_kind string, script string")
+        assert pii.redacted_documents(docs, names).select("doc_id").distinct().count() == 1200
+        assert pii.personal_mentions(docs, names).where("kind = 'phone'").select("doc_id").distinct().count() == 1200
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
