@@ -1,8 +1,9 @@
 """Page boilerplate in article bodies (problem 2), by consensus of the paths of one host's pages.
 
 A page is a body, its containers are its lines, and the class path of a line is its generalised form: folded case
-and width, one blank for many, numbers, the publisher's name and the segments of menus replaced by placeholders, and
-of an unterminated line with a label (`Read next: ...`) the label alone. Each page scores its lines by form, and the
+and width, one blank for many, numbers, the publisher's name and the short segments of menus replaced by placeholders,
+of a trail of links (`Home > News > ...`) the links without the page's title at the end, and of an unterminated line
+with a label (`Read next: ...`) the label alone. Each page scores its lines by form, and the
 pages of a host vote: a path that many of its pages hold, more than an article's sentences ever recur, or that the
 vote of other hosts has settled, is the page's. Every page is then read again and the lines of such paths come out.
 """
@@ -27,9 +28,11 @@ MIN_PAGES = 3  # pages of a host that must hold a path before the host's vote ca
 MIN_SHARE = 0.08  # lower bound of the share of a host's pages that a page's own path reaches
 CONSENSUS_PAGES = 8  # pages a host's vote needs before it counts at other hosts
 CONFIDENCE = 1.64
+MENU_SEGMENT = 40  # characters that an entry of a menu has at most
 
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
-_SEPARATOR = re.compile(r"\s*[|>｜／›»→]\s*|\s*(?<!\d)/(?!\d)\s*")
+_SEPARATOR = re.compile(r"\s*([|>→])\s*|\s*(?<!\d)(/)(?!\d)\s*")  # guillemets close quotations too, so they are none
+_SENTENCE_MARK = re.compile(r"[!?。।؟۔]|\.(?!\w)")
 _LABEL = re.compile(r"(?:[・•*‣▸▶►◇\-–—]\s*|[^:.。!?]{0,30}?(?::\s+|:(?=[^\s\d/])|】\s*|\d位\s+|#\d+:\s*|\d\.\s+))(?=\S)")
 
 
@@ -42,6 +45,20 @@ def terminated(folded: str) -> bool:
     return bool(body) and body[-1] in TERMINATORS
 
 
+def menu_path(text: str) -> str | None:
+    """The path of a line of links, None for any other: an entry is short and no sentence. A slash between two words is no menu yet."""
+    marks = ["".join(m.groups("")) for m in _SEPARATOR.finditer(text)]
+    if not marks:
+        return None
+    parts = _SEPARATOR.sub("\0", text).split("\0")
+    entry = [len(p) <= MENU_SEGMENT and not _SENTENCE_MARK.search(p) for p in parts]
+    if all(entry) and (len(parts) > 2 or marks != ["/"]):
+        return "\x02" * len(parts)
+    if all(entry[:-1]) and marks[-1] == ">":
+        return _NUMBER.sub("0", ">".join(parts[:-1])) + ">\x04"
+    return None
+
+
 def class_path(line: str, name: str | None) -> tuple[str | None, float]:
     """The generalised form of a line and its score, 1 for an article's line to -1 for a page's; None for a blank line."""
     text = fold_line(line)
@@ -52,9 +69,8 @@ def class_path(line: str, name: str | None) -> tuple[str | None, float]:
     if named:
         text = text.replace(name, "\x01")
     score = (0.5 if ends else -0.25) - 0.5 * named + min(len(text), 80) / 160
-    parts = _SEPARATOR.split(text)
-    if len(parts) >= 2 and not ends:
-        return "\x02" * len(parts), -1.0
+    if not ends and (menu := menu_path(text)):
+        return menu, -1.0
     if not ends and (m := _LABEL.match(text)):
         rest = text[m.end() :]
         if len(rest) > 6:
