@@ -126,9 +126,18 @@ def lower_bound(k, n):
     return (p + z2 / (2 * n) - CONFIDENCE * root) / (1 + z2 / n)
 
 
-def winning_paths(lines: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(host, path) of the page's own lines. Counts are combined before the shuffle, so no host is gathered anywhere."""
-    votes = lines.groupBy("host", "path").agg(F.sum(F.col("is_new").cast("bigint")).alias("held"), F.avg("score").alias("score"))
+def line_votes(lines: DataFrame) -> DataFrame:
+    """(host, path, held, scores, n_lines); votes of further pages add up. Counts are combined before the shuffle, so no host is gathered anywhere."""
+    return lines.groupBy("host", "path").agg(F.sum(F.col("is_new").cast("bigint")).alias("held"), F.sum("score").alias("scores"), F.count("*").alias("n_lines"))
+
+
+def host_sizes(of: DataFrame) -> DataFrame:
+    return of.groupBy("host").agg(F.count("*").alias("n_pages"))
+
+
+def winning_paths(votes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(host, path) of the page's own lines, from one row a host and path, and one a host."""
+    votes = votes.select("host", "path", "held", (F.col("scores") / F.col("n_lines")).alias("score"))
     votes = cut(votes.where(F.col("held") >= 1).join(sizes, "host"), "votes")
     bound = lower_bound(F.col("held"), F.col("n_pages"))
     # the better a path scores as an article's line, the more pages must hold it
@@ -143,14 +152,21 @@ def page_furniture(docs: DataFrame, items: DataFrame, sources: DataFrame) -> Dat
     """(field, rec_id, line_no) of the lines that belong to the page. Null and empty bodies and blank lines give none."""
     of = pages(docs, items, sources)
     lines = cut(page_lines(of), "lines")
-    sizes = of.groupBy("host").agg(F.count("*").alias("n_pages"))
-    return lines.join(winning_paths(lines, sizes), ["host", "path"], "left_semi").select("field", "rec_id", "line_no")
+    return lines_of_paths(lines, winning_paths(line_votes(lines), host_sizes(of)))
+
+
+def lines_of_paths(lines: DataFrame, paths: DataFrame) -> DataFrame:
+    return lines.join(paths, ["host", "path"], "left_semi").select("field", "rec_id", "line_no")
 
 
 def main_bodies(docs: DataFrame, items: DataFrame, sources: DataFrame) -> DataFrame:
     """(field, rec_id, body, n_removed): each page's main body."""
-    gone = page_furniture(docs, items, sources).groupBy("field", "rec_id").agg(F.collect_set("line_no").alias("gone"))
-    of = pages(docs, items, sources).join(gone, ["field", "rec_id"], "left")
+    return without_lines(pages(docs, items, sources), page_furniture(docs, items, sources))
+
+
+def without_lines(of: DataFrame, lines: DataFrame) -> DataFrame:
+    gone = lines.groupBy("field", "rec_id").agg(F.collect_set("line_no").alias("gone"))
+    of = of.join(gone, ["field", "rec_id"], "left")
     dropped = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter(F.split("body", "\n", -1), lambda _, i: ~F.array_contains(dropped, i + 1))
     return of.select("field", "rec_id", F.array_join(kept, "\n").alias("body"), F.size(dropped).alias("n_removed"))
