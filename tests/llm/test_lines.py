@@ -1,5 +1,6 @@
 import random
 
+from weftline.functions.text import letters_only
 from weftline.llm import boilerplate, sentences, site_lines
 
 DOCS = "doc_id string, title string, body string, url string, source string, path string, line_no int"
@@ -47,7 +48,6 @@ def test_found_starts(spark, listed):
 
 
 def brute_lines(rows):
-    from weftline.functions.text import letters_only
 
     docs = {}
     for doc, _, body, _, source, path, _ in sorted(rows, key=lambda r: (r[5] is None, r[5] or "")):
@@ -79,16 +79,38 @@ def test_repeated_lines_match_brute_force(spark):
     assert site_lines.repeated_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def brute_blocks(rows):
+    """(source, n_lines, docs) of each occurrence of a longest block that none a line earlier covers."""
+    docs = {r[0]: (r[4], [letters_only(x) for x in (r[2] or "").split("\n") if letters_only(x)]) for r in sorted(rows, key=lambda r: str(r[5]), reverse=True) if r[0] and r[4]}
+    size, held, out = {}, {}, []
+    for doc, (source, keys) in docs.items():
+        size[source] = size.get(source, 0) + 1
+        for i in range(len(keys)):
+            for n in range(1, len(keys) - i + 1):
+                held.setdefault((source, *keys[i : i + n]), set()).add(doc)
+    enough = lambda source, block: len(held[source, *block]) >= max(3, 0.15 * size[source])
+    for source, keys in docs.values():
+        last = 0
+        for i in range(len(keys)):
+            n = max([n for n in range(1, len(keys) - i + 1) if enough(source, keys[i : i + n])], default=0)
+            if n and i + n > last:
+                out.append((source, n, len(held[source, *keys[i : i + n]])))
+            last = i + n if n else 0
+    return sorted(out)
+
+
 def test_blocks_of_several_lines(spark):
-    docs = spark.createDataFrame([(f"d{i}", "", f"start {chr(97 + i)}\nalpha\nbeta\ngamma\nend {chr(97 + i)}\nalpha", "", "s", f"p{i}", 1) for i in range(6)], DOCS)
-    one = site_lines.distinct_docs(docs)
-    blocks = site_lines.repeated_blocks(one, site_lines.line_suffixes(one)).collect()
-    by_size = {}
-    for b in blocks:
-        by_size.setdefault(b.n_lines, []).append(b.docs)
-    assert by_size[1] == [6, 6, 6, 6, 6][: len(by_size[1])] and len(by_size[1]) >= 3 and 6 in by_size[2] and 6 in by_size[3]
+    long = [f"line {chr(97 + i)}" for i in range(23)]
+    rows = [(f"d{i}", "", "\n".join([f"start {chr(97 + i)}", *long[i % 3 :], f"end {chr(97 + i)}", *long[:7]]), "", "s", f"p{i}", 1) for i in range(12)]
+    for table in (rows, line_sample()):
+        docs = spark.createDataFrame(table, DOCS)
+        one = site_lines.distinct_docs(docs)
+        blocks = site_lines.repeated_blocks(one, site_lines.line_keys(one)).collect()
+        assert sorted((b.source, b.n_lines, b.docs) for b in blocks) == brute_blocks(table)
+    docs = spark.createDataFrame(rows, DOCS)
+    assert {(r.n_lines, r.docs) for r in site_lines.block_sizes(docs).collect()} >= {(21, 12), (23, 4), (22, 8)}
     clean = {r.doc_id: r.body for r in site_lines.without_repeated_lines(docs).collect()}
-    assert "alpha" not in clean["d0"]
+    assert clean["d0"] == "start a\nend a"
 
 
 def test_furniture_by_consensus(spark):

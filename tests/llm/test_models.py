@@ -36,8 +36,42 @@ def test_raking_meets_marginals_under_caps():
     rows, columns = np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])
     weight = mixing.rake(tokens, [(columns, np.array([45.0, 55])), (rows, np.array([60.0, 40]))], np.full(4, np.inf))
     assert np.allclose(np.bincount(rows, weight * tokens), [60, 40]) and np.allclose(np.bincount(columns, weight * tokens), [45, 55])
-    capped = mixing.rake(tokens, [(rows, np.array([100.0, 30]))], np.array([2.0, 2, 2, 2]))
-    assert np.allclose(np.bincount(rows, capped * tokens), [80, 30])
+    capped = mixing.rake(tokens, [(rows, np.array([78.0, 30]))], np.array([2.0, 2, 2, 2]))
+    assert np.allclose(np.bincount(rows, capped * tokens), [78, 30])
+    with pytest.raises(ValueError):
+        mixing.rake(tokens, [(rows, np.array([100.0, 30]))], np.array([2.0, 2, 2, 2]))
+
+
+def test_raking_under_active_caps():
+    """Marginals of random weights under the caps can be met, and are; the weights are the nearest in relative entropy."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        n_rows, n_columns = int(rng.integers(2, 6)), int(rng.integers(2, 6))
+        rows, columns = np.divmod(np.arange(n_rows * n_columns), n_columns)
+        tokens = rng.integers(0, 90, n_rows * n_columns).astype(float)
+        cap = rng.choice([0.5, 1, 1.5, 4], n_rows)[rows]
+        some = np.minimum(rng.random(len(tokens)) * 3, cap)  # many stand at their caps
+        margins = [(columns, np.bincount(columns, some * tokens)), (rows, np.bincount(rows, some * tokens))]
+        weight = mixing.rake(tokens, margins, cap, rounds=20_000)
+        assert (weight <= cap + 1e-9).all()
+        for of, target in margins:
+            assert np.allclose(np.bincount(of, weight * tokens), target, atol=1e-5 * max(1, tokens.sum()))
+
+
+def test_cells_keep_their_languages_under_caps():
+    import pandas as pd
+
+    cells = pd.DataFrame([("a", "ja", 100, 1), ("a", "en", 50, 1), ("b", "ja", 30, 1), ("b", "en", 70, 1), ("c", "ja", 10, 1), ("c", "en", 40, 1)], columns=["source", "lang", "tokens", "docs"])
+    for caps, want in (((1, 4, 0.5), (0.4, 1.5, 0.5)), ((1, 2, 1), (0.4, 1.5, 1.0)), ((9, 9, 9), (0.4, 1.5, 1.8)), ((None, 1, 1), (0.4, 1.0, 1.0))):
+        targets = pd.DataFrame({"source": list("abc"), "target_share": [0.2, 0.5, 0.3], "max_repeats": caps})
+        got = mixing.cell_weights(cells, targets)
+        assert np.allclose(got["weight"], np.repeat(want, 2)), caps
+    targets = pd.DataFrame({"source": list("abc"), "target_share": [0.2, 0.5, 0.3], "max_repeats": [1, 4, 0.5]})
+    got = mixing.cell_weights(cells, targets, {"ja": 0.5})
+    of_lang = (got["weight"] * got["tokens"]).groupby(got["lang"]).sum()
+    assert abs(of_lang["ja"] / of_lang.sum() - 0.5) < 1e-6 and np.allclose((got["weight"] * got["tokens"]).groupby(got["source"]).sum(), [60, 150, 25], atol=1e-3)
+    with pytest.raises(ValueError):
+        mixing.cell_weights(cells, targets, {"ja": 0.99})
 
 
 def test_draws(spark):
@@ -48,7 +82,10 @@ def test_draws(spark):
     sized = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, tokens bigint").withColumn("lang", mixing.language(mixing.F.col("lang")))
     targets = spark.createDataFrame([("a", 0.2, 1.0), ("b", 0.5, 4.0), ("c", 0.3, 0.5), ("none", 0.0, None)], "source string, target_share double, max_repeats double")
     drawn = mixing.draws(sized, targets)
-    share = {r.source: r for r in mixing.mix_shares(sized, drawn, targets).collect()}
+    shares = mixing.mix_shares(sized, drawn, targets).collect()
+    share = {r.name: r for r in shares if r.dimension == "source"}
+    of_lang = {r.name: r.drawn_tokens for r in shares if r.dimension == "language"}
+    assert sum(of_lang.values()) == sum(r.drawn_tokens for r in share.values()) and set(of_lang) == {"ja", "en", "und"}
     assert abs(share["a"].actual_share - 0.2) < 0.01 and abs(share["b"].actual_share - 0.5) < 0.01
     assert abs(share["c"].actual_share - 0.5 * share["c"].own_tokens / sum(s.own_tokens for s in share.values())) < 0.01  # capped, stays below
     assert share["none"].drawn_tokens == 0 and max(r.copies for r in drawn.where("source = 'a'").collect()) == 1

@@ -1,31 +1,29 @@
 """Lines repeated across one source's documents (problem 6), by suffix arrays over line identifiers.
 
-Every line with letters is a 16-byte identifier of its letters. The suffix at a line is the sequence of the next
-DEPTH identifiers of its document; suffixes of a source, sorted, form its suffix array, which is range-partitioned, so
-a source or a line of any weight is spread over partitions. Suffixes with a common prefix of k identifiers stand side
-by side: they are the occurrences of one block of k lines. A scan finds each run by comparing neighbours; runs inside
-a partition are whole, those at its edges are added up afterwards. Blocks in enough documents of the source are
-deleted; a block longer than DEPTH lines is covered by the blocks inside it.
+Every line with letters is a 16-byte identifier of its letters; a source's identifiers in order are its text, and a
+suffix begins at each of its lines. Suffixes are ranked by prefix doubling: two suffixes have one rank at length n if
+their next n lines agree, and the rank at n + m is the pair of the rank at n and that of the suffix n lines on at m. So
+suffixes of one rank are a run of the suffix array with a common prefix of n lines: the occurrences of one block. Only
+ranks that stand in enough documents go on, doubling upwards until none is left and then halving downwards, which
+gives the longest repeated block at each line, whatever its length. Blocks that no longer one covers are deleted.
+
+Documents of a rank are counted by rank and document first, so neither a source nor a line is gathered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import letters_only
 from weftline.runtime import cut
 
-DEPTH = 6  # lines of a suffix that are compared; it bounds the blocks' reported length, not which lines are found
-WIDTH = 16
-SUFFIXES = "source string, doc_id string, line_no int, suffix binary, first_len int"
-RUNS = "source string, n_lines int, block binary, docs bigint"
+LINES = "source string, doc_id string, at int, line_no int, key binary"
+BROADCAST_ROWS = 100_000  # frequent ranks that are sent to every executor, at most; more are joined by a shuffle
 
 
 def distinct_docs(docs: DataFrame) -> DataFrame:
@@ -36,12 +34,12 @@ def distinct_docs(docs: DataFrame) -> DataFrame:
     return one.select("doc_id", "d.source", "d.body")
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids: dict[str, bytes] = {}
     for batch in batches:
         rows: tuple[list, ...] = ([], [], [], [], [])
         for source, doc_id, body in zip(*(c.to_pylist() for c in batch.columns)):
-            keys, numbers = [], []
+            at = 0
             for number, line in enumerate(body.split("\n"), 1):
                 key = ids.get(line)
                 if key is None:
@@ -50,96 +48,82 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(ids) > 100_000:
                         ids.clear()
                 if key:
-                    keys.append(key)
-                    numbers.append(number)
-            blob = b"".join(keys) + b"\0" * (WIDTH * DEPTH)
-            seen: set[bytes] = set()
-            for i, number in enumerate(numbers):
-                first, low = DEPTH + 1, i * WIDTH
-                for k in range(DEPTH, 0, -1):
-                    prefix = blob[low : low + k * WIDTH]
-                    if prefix not in seen:
-                        first = k
-                        seen.add(prefix)
-                for part, value in zip(rows, (source, doc_id, number, blob[low : low + WIDTH * DEPTH], first)):
-                    part.append(value)
+                    for part, value in zip(rows, (source, doc_id, at, number, key)):
+                        part.append(value)
+                    at += 1
             if len(rows[0]) > 50_000:
-                yield _suffix_batch(rows)
+                yield _batch(rows)
                 rows = ([], [], [], [], [])
-        yield _suffix_batch(rows)
-
-
-def _suffix_batch(rows: tuple[list, ...]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), pa.int32(), pa.binary(), pa.int32()]
-    return pa.record_batch([pa.array(r, k) for r, k in zip(rows, kinds)], ["source", "doc_id", "line_no", "suffix", "first_len"])
-
-
-def line_suffixes(one: DataFrame) -> DataFrame:
-    """Suffixes of every line with letters. first_len: the shortest block that begins here and stood nowhere before in the document."""
-    return one.where("body is not null").select("source", "doc_id", "body").mapInArrow(_suffixes, SUFFIXES)
-
-
-def _block_runs(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_source, last_key = None, None
-        open_runs: list[list | None] = [None] * DEPTH  # source, block, docs, whether it touches the partition's start
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            out: list[tuple] = []
-            sources = batch.column(0)
-            raw = b"".join(batch.column(1).to_pylist())
-            keys = np.frombuffer(raw, np.uint64).reshape(n, DEPTH, 2)
-            first_len = batch.column(2).to_numpy(zero_copy_only=False)
-            differs = np.empty((n, DEPTH), bool)
-            differs[1:] = (keys[1:] != keys[:-1]).any(axis=2)
-            differs[0] = True if last_key is None else (keys[0] != last_key).any(axis=1)
-            new_source = np.empty(n, bool)
-            new_source[0] = sources[0].as_py() != last_source
-            if n > 1:
-                new_source[1:] = pc.not_equal(sources.slice(1), sources.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-            real = keys.any(axis=2)
-            # the common prefix with the row before is shorter than k + 1 lines
-            starts_run = np.logical_or.accumulate(differs, axis=1) | new_source[:, None]
-            for k in range(DEPTH):
-                at = np.flatnonzero(starts_run[:, k])
-                counted = (real[:, k] & (first_len <= k + 1)).astype(np.int64)
-                if not len(at) or at[0] > 0:
-                    head = int(counted[: at[0] if len(at) else n].sum())
-                    open_runs[k][2] += head
-                if not len(at):
-                    continue
-                docs = np.add.reduceat(counted, at)
-                if open_runs[k] is not None and (open_runs[k][2] >= least or open_runs[k][3]):
-                    out.append((open_runs[k][0], k + 1, open_runs[k][1], open_runs[k][2]))
-                touches = open_runs[k] is None
-                inner = np.flatnonzero(docs[:-1] >= least) if not touches else np.flatnonzero((docs[:-1] >= least) | (np.arange(len(docs) - 1) == 0))
-                for j in inner:
-                    i = int(at[j])
-                    out.append((sources[i].as_py(), k + 1, raw[i * WIDTH * DEPTH : i * WIDTH * DEPTH + (k + 1) * WIDTH], int(docs[j])))
-                i = int(at[-1])
-                open_runs[k] = [sources[i].as_py(), raw[i * WIDTH * DEPTH : i * WIDTH * DEPTH + (k + 1) * WIDTH], int(docs[-1]), touches and len(at) == 1]
-            last_source, last_key = sources[n - 1].as_py(), keys[n - 1].copy()
-            yield _run_batch(out)
-        yield _run_batch([(r[0], k + 1, r[1], r[2]) for k, r in enumerate(open_runs) if r is not None and r[2]])
-
-    return run
-
-
-def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*(r for r in rows if r[3]))) or [()] * 4
-    kinds = [pa.string(), pa.int32(), pa.binary(), pa.int64()]
-    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["source", "n_lines", "block", "docs"])
-
-
-def repeated_blocks(one: DataFrame, suffixes: DataFrame, min_docs: int = 3, min_share: float = 0.15) -> DataFrame:
-    """(source, n_lines, block, docs, source_docs): blocks of 1 to DEPTH lines in enough of the source's documents."""
-    array = suffixes.select("source", "suffix", "first_len").repartitionByRange("source", "suffix", "first_len").sortWithinPartitions("source", "suffix")
-    runs = array.mapInArrow(_block_runs(min_docs), RUNS).groupBy("source", "n_lines", "block").agg(F.sum("docs").alias("docs"))
-    sizes = one.groupBy("source").agg(F.count("*").alias("source_docs"))
-    found = runs.where(F.col("docs") >= min_docs).join(sizes, "source")
-    return found.where(F.col("docs") >= F.lit(min_share) * F.col("source_docs"))
+        yield _batch(rows)
+
+
+def _batch(rows: tuple[list, ...]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.record_batch([pa.array(r, k) for r, k in zip(rows, kinds)], ["source", "doc_id", "at", "line_no", "key"])
+
+
+def line_keys(one: DataFrame) -> DataFrame:
+    """(source, doc_id, at, line_no, key) of every line with letters; at counts these lines within the document."""
+    return one.where("body is not null").select("source", "doc_id", "body").mapInArrow(_lines, LINES)
+
+
+def _frequent(ranked: DataFrame, sizes: DataFrame, min_docs: int, min_share: float, label: str) -> DataFrame | None:
+    """Of (source, doc_id, at, rank) those whose rank stands in enough documents, with docs; None if there are none."""
+    held = ranked.groupBy("source", "rank", "doc_id").agg(F.lit(1).alias("one")).groupBy("source", "rank").agg(F.count("*").alias("docs"))
+    enough = cut(held.where(F.col("docs") >= min_docs).join(sizes, "source").where(F.col("docs") >= F.lit(min_share) * F.col("source_docs")).select("source", "rank", "docs"), "ranks")
+    n = enough.count()
+    if not n:
+        return None
+    return cut(ranked.join(F.broadcast(enough) if n <= BROADCAST_ROWS else enough, ["source", "rank"]), label)
+
+
+def repeated_blocks(one: DataFrame, keys: DataFrame, min_docs: int = 3, min_share: float = 0.15) -> DataFrame:
+    """(source, doc_id, at, n_lines, rank, docs): the longest block in enough documents at each line that begins one.
+
+    Blocks that a block beginning a line earlier covers are left out. docs: the source's documents that hold the block.
+    """
+    spark = one.sparkSession
+    sizes = cut(one.groupBy("source").agg(F.count("*").alias("source_docs")), "sizes")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    pair = lambda x, y: F.unhex(F.md5(F.concat(x, y)))
+
+    def joined(left: DataFrame, right: DataFrame, by: int | None) -> DataFrame:
+        """Blocks of left, each followed by the block of right that begins where it ends."""
+        at = F.col("at") + (F.lit(by) if by is not None else F.col("n_lines"))
+        then = right.select("doc_id", F.col("at").alias("then_at"), F.col("rank").alias("then_rank"))
+        return left.withColumn("then_at", at.cast("int")).join(then, ["doc_id", "then_at"])
+
+    levels = []
+    level = _frequent(keys.select("source", "doc_id", "at", F.col("key").alias("rank")), sizes, min_docs, min_share, "level")
+    while level is not None:
+        levels.append(level)
+        twice = joined(level, level, 1 << (len(levels) - 1)).select("source", "doc_id", "at", pair("rank", "then_rank").alias("rank"))
+        level = _frequent(twice, sizes, min_docs, min_share, "level")
+    if not levels:
+        return spark.createDataFrame([], "source string, doc_id string, at int, n_lines int, rank binary, docs bigint")
+    # the longest power of two at each line, then what of the lesser powers it can be followed by
+    best = levels[0].withColumn("n_lines", F.lit(1))
+    for k, level in enumerate(levels[1:], 1):
+        longer = level.select("source", "doc_id", "at", F.col("rank").alias("new_rank"), F.col("docs").alias("new_docs"))
+        best = _longer(best, longer, F.lit(1 << k))
+    best = cut(best, "blocks")
+    for k in range(len(levels) - 2, -1, -1):
+        tried = joined(best, levels[k], None).where(F.col("n_lines") >= 1 << (k + 1))
+        found = _frequent(tried.select("source", "doc_id", "at", F.concat(F.col("n_lines").cast("string").cast("binary"), pair("rank", "then_rank")).alias("rank")), sizes, min_docs, min_share, "level")
+        if found is not None:
+            longer = found.select("source", "doc_id", "at", F.col("rank").alias("new_rank"), F.col("docs").alias("new_docs"))
+            best = cut(_longer(best, longer, F.col("n_lines") + (1 << k)), "blocks")
+    ends = F.col("at") + F.col("n_lines")
+    # within one document
+    before = Window.partitionBy("doc_id").orderBy("at")
+    return best.withColumn("last_end", F.lag(ends).over(before)).where(F.col("last_end").isNull() | (F.col("last_end") < ends)).drop("last_end")
+
+
+def _longer(best: DataFrame, longer: DataFrame, n_lines) -> DataFrame:
+    met = best.join(longer, ["source", "doc_id", "at"], "left")
+    new = F.col("new_rank").isNotNull()
+    value = lambda a, b: F.when(new, a).otherwise(F.col(b)).alias(b)
+    return met.select("source", "doc_id", "at", value(n_lines, "n_lines"), value(F.col("new_rank"), "rank"), value(F.col("new_docs"), "docs"))
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = 3, min_share: float = 0.15) -> DataFrame:
@@ -149,12 +133,18 @@ def repeated_lines(docs: DataFrame, min_docs: int = 3, min_share: float = 0.15)
     one document counts once; docs without source or doc_id take no part.
     """
     one = cut(distinct_docs(docs), "docs")
-    suffixes = cut(line_suffixes(one), "suffixes")
-    blocks = repeated_blocks(one, suffixes, min_docs, min_share)
-    # a line stands in a block exactly if the block of that line alone passes: it has at least the block's documents
-    single = blocks.where("n_lines = 1").select("source", F.col("block").alias("key"))
-    keyed = suffixes.select("source", "doc_id", "line_no", F.substring("suffix", 1, WIDTH).alias("key"))
-    return keyed.join(single, ["source", "key"], "left_semi").select("doc_id", "line_no")
+    keys = cut(line_keys(one), "lines")
+    blocks = repeated_blocks(one, keys, min_docs, min_share)
+    inside = blocks.select("doc_id", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n_lines") - 1)).alias("at")).distinct()
+    return keys.join(inside, ["doc_id", "at"], "left_semi").select("doc_id", "line_no")
+
+
+def block_sizes(docs: DataFrame, min_docs: int = 3, min_share: float = 0.15) -> DataFrame:
+    """(source, n_lines, docs, blocks, occurrences): how many different blocks of a length stand in so many documents, and how often they are deleted."""
+    one = cut(distinct_docs(docs), "docs")
+    blocks = repeated_blocks(one, cut(line_keys(one), "lines"), min_docs, min_share)
+    each = blocks.groupBy("source", "n_lines", "rank").agg(F.first("docs").alias("docs"), F.count("*").alias("n"))
+    return each.groupBy("source", "n_lines", "docs").agg(F.count("*").alias("blocks"), F.sum("n").alias("occurrences"))
 
 
 def without_repeated_lines(docs: DataFrame, min_docs: int = 3, min_share: float = 0.15) -> DataFrame:
