@@ -62,3 +62,12 @@ def test_layout_keeps_components_apart():
     assert max(abs(c) for p in place.values() for c in p) == 1000 and place == graph.layout(near, 50)
     assert len(set(place.values())) == len(place)
     assert graph.layout({}) == {}
+
+
+def test_many_components_and_a_path():
+    pairs = [(f"a{i:04d}", f"b{i:04d}", 0.5) for i in range(700)]
+    place = graph.layout(graph.adjacency(pairs), 3)
+    assert len(set(place.values())) == 1400
+    path = graph.layout(graph.adjacency([(f"v{i}", f"v{i + 1}", 1.0) for i in range(6)]), 200)
+    far = lambda a, b: ((path[a][0] - path[b][0]) ** 2 + (path[a][1] - path[b][1]) ** 2) ** 0.5
+    assert far("v0", "v6") > far("v0", "v3") > far("v0", "v1")

@@ -29,8 +29,8 @@ def test_run_writes_everything(spark, tmp_path):
     with open(tmp_path / "edges.csv", encoding="utf-8-sig") as file:
         assert list(csv.reader(file))[0][:4] == ["Source", "Target", "Type", "Weight"]
     assert (tmp_path / "nodes.csv").read_bytes().startswith(b"\xef\xbb\xbf")
-    assert len(ET.parse(tmp_path / "network.gexf").getroot().findall(".//{*}node")) == len(data["nodes"])
-    assert "共起ネットワーク" in (tmp_path / "report.md").read_text() and "__GRAPH_DATA__" not in (tmp_path / "network.html").read_text()
+    assert len(ET.parse(tmp_path / "graph.gexf").getroot().findall(".//{*}node")) == len(data["nodes"])
+    assert "語のつながり" in (tmp_path / "report.md").read_text() and "__GRAPH_DATA__" not in (tmp_path / "graph.html").read_text()
 
 
 def test_no_articles_gives_a_report_only(spark, tmp_path):

@@ -139,56 +139,63 @@ def communities(near: dict[str, dict[str, float]], tries: int = 16, seed: int =
     return {v: i for i, part in enumerate(ranked) for v in part}
 
 
-def spring(near: dict[str, dict[str, float]], nodes: list[str], iterations: int, seed: int = 42) -> np.ndarray:
-    """Positions of one component by attraction along edges and repulsion between all, cooling down."""
-    n = len(nodes)
-    if n == 1:
-        return np.zeros((1, 2))
+def distances(near: dict[str, dict[str, float]], nodes: list[str]) -> np.ndarray:
+    """Lengths of the shortest paths within one component; an edge is the shorter the more it weighs, between 1/2 and 2."""
     at = {v: i for i, v in enumerate(nodes)}
-    pull = np.zeros((n, n))
+    length = np.full((len(nodes), len(nodes)), np.inf)
+    np.fill_diagonal(length, 0.0)
     for v in nodes:
         for u, w in near[v].items():
-            pull[at[v], at[u]] = w
-    place = np.random.default_rng(seed).random((n, 2))
-    k = 2.2 / np.sqrt(n)
-    heat = 0.1 * max(np.ptp(place[:, 0]), np.ptp(place[:, 1]))
-    step = heat / (iterations + 1)
+            length[at[v], at[u]] = 1 / (0.5 + min(max(w, 0.0), 1.5))
+    for k in range(len(nodes)):
+        np.minimum(length, length[:, k, None] + length[None, k], out=length)
+    return length
+
+
+def stress_layout(wanted: np.ndarray, iterations: int) -> np.ndarray:
+    """Places whose distances come near the wanted ones: each step puts all nodes where a bound on the squared misfit is least.
+
+    Begins with the two greatest axes of the doubly centred squares, so there is no random start.
+    """
+    n = len(wanted)
+    if n == 1:
+        return np.zeros((1, 2))
+    centre = np.eye(n) - 1 / n
+    value, axis = np.linalg.eigh(-0.5 * centre @ (wanted**2) @ centre)
+    place = axis[:, -2:] * np.sqrt(np.maximum(value[-2:], 0.0))
+    turn = np.arange(n) * np.pi * (3 - 5**0.5)
+    place = place + 1e-3 * np.column_stack([np.cos(turn), np.sin(turn)])  # nodes in one spot come apart
     for _ in range(iterations):
-        apart = place[:, None] - place[None]
-        length = np.maximum(np.linalg.norm(apart, axis=-1), 0.01)
-        force = np.einsum("ijk,ij->ik", apart, k * k / length**2 - pull * length / k)
-        size = np.maximum(np.linalg.norm(force, axis=1), 0.01)
-        place += force * (heat / size)[:, None]
-        heat -= step
-    place -= place.mean(axis=0)
-    reach = np.abs(np.linalg.norm(place, axis=1)).max()
-    return place / reach * (1 + 1.15 * np.sqrt(n)) if reach else place
-
-
-def layout(near: dict[str, dict[str, float]], iterations: int = 200, seed: int = 42) -> dict[str, tuple[float, float]]:
-    """Components laid out one by one and packed as circles that don't overlap, scaled so that the farthest coordinate is 1000."""
-    placed: list[tuple[np.ndarray, float]] = []
-    out: dict[str, np.ndarray] = {}
+        gap = np.linalg.norm(place[:, None] - place[None], axis=-1)
+        ratio = np.where(gap > 1e-9, wanted / np.maximum(gap, 1e-9), 0.0)
+        place = (place * ratio.sum(axis=1)[:, None] - ratio @ place) / n
+        place -= place.mean(axis=0)
+    return place
+
+
+def layout(near: dict[str, dict[str, float]], iterations: int = 200) -> dict[str, tuple[float, float]]:
+    """Components laid out one by one and set side by side in rows, the farthest coordinate at 1000.
+
+    Each stands in a square of its own, the squares of a row as high as its first, so none overlap however many there are.
+    """
+    shapes = []
     for part in components(near):
-        shape = spring(near, part, iterations, seed)
-        radius = float(np.linalg.norm(shape, axis=1).max()) if len(part) > 1 else 0.6
-        centre = np.zeros(2)
-        if placed:
-            ring = max(0.6, radius / 2)
-            free = None
-            for turn in range(1, 500):
-                count = max(8, int(2 * np.pi * turn))
-                for j in range(count):
-                    angle = 2 * np.pi * j / count
-                    spot = np.array([np.cos(angle), np.sin(angle)]) * ring * turn
-                    if all(np.linalg.norm(spot - c) >= radius + r + 0.8 for c, r in placed):
-                        free = spot
-                        break
-                if free is not None:
-                    break
-            centre = free if free is not None else np.array([ring * 500, 0.0])
-        placed.append((centre, radius))
-        out |= {v: shape[i] + centre for i, v in enumerate(part)}
-    reach = max((np.abs(p).max() for p in out.values()), default=0.0)
-    scale = 1000 / float(reach) if reach else 1.0
-    return {v: (round(float(p[0]) * scale, 2), round(float(p[1]) * scale, 2)) for v, p in out.items()}
+        shape = stress_layout(distances(near, part), iterations)
+        shapes.append((part, shape, 2 * float(np.abs(shape).max()) + 1.0))
+    shapes.sort(key=lambda s: (-s[2], s[0][0]))
+    width = max(shapes[0][2], sum(side * side for *_, side in shapes) ** 0.5) if shapes else 0.0
+    out: dict[str, np.ndarray] = {}
+    x = y = height = 0.0
+    for part, shape, side in shapes:
+        if x and x + side > width + 1e-9:
+            x, y, height = 0.0, y + height, 0.0
+        height = max(height, side)
+        out |= {v: shape[i] + (x + side / 2, y + side / 2) for i, v in enumerate(part)}
+        x += side
+    if not out:
+        return {}
+    all_places = np.array(list(out.values()))
+    middle = (all_places.max(axis=0) + all_places.min(axis=0)) / 2
+    reach = float(np.abs(all_places - middle).max())
+    scale = 1000 / reach if reach else 1.0
+    return {v: (round(float(p[0] - middle[0]) * scale, 2), round(float(p[1] - middle[1]) * scale, 2)) for v, p in out.items()}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Set
+from itertools import accumulate, groupby
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ Token = tuple[str, str, str, str]  # surface, part of speech, its kind, lemma
 # Parts of speech that make noun runs, and endings of words that may belong into a dictionary.
 NOUN, NOUN_KINDS, SUFFIX, SUFFIX_KIND, PREFIX = "名詞", ("普通名詞", "固有名詞"), "接尾辞", "名詞的", "接頭辞"
 VERB, VERB_KIND_DROPPED = "動詞", "非自立可能"
+RUN_PARTS = {(NOUN, kind) for kind in NOUN_KINDS} | {(SUFFIX, SUFFIX_KIND)}
 SHORT_KANA_OR_LATIN = re.compile("^[ぁ-んァ-ヶa-zA-Z]{1,2}$")
 CANDIDATE_ENDING = (
     "(博物館|美術館|劇場|音楽堂|文化会館|図書館|資料館|記念館|会館|ホール|法|条例|計画|戦略|制度|事業|基金|助成金|補助金|センター|機構|財団|協会|"
@@ -70,69 +73,80 @@ def _stretches(text: str) -> list[Token]:
     return out
 
 
+class Aliases:
+    """Dictionary names in a text, by one pass of an automaton over all of them."""
+
+    def __init__(self, entities: list[tuple[str, list[str]]]):
+        owner: dict[str, str] = {}
+        for entity, aliases in entities:
+            for alias in aliases:
+                if alias:
+                    owner.setdefault(unicodedata.normalize("NFKC", alias), entity)
+        # the longer name first, of equal lengths the one listed first
+        self.names = sorted(owner, key=len, reverse=True)
+        self.owners = [owner[n] for n in self.names]
+        self.automaton = ahocorasick.Automaton()
+        for rank, name in enumerate(self.names):
+            self.automaton.add_word(name, rank)
+        if self.names:
+            self.automaton.make_automaton()
+
+    def find(self, text: str) -> tuple[list[str], str]:
+        """Entity ids, and the text with their mentions blanked out. A mention that overlaps a longer one isn't one."""
+        if not self.names:
+            return [], text
+        hits = sorted((rank, last + 1 - len(self.names[rank])) for last, rank in self.automaton.iter(text))
+        taken = bytearray(len(text))
+        ids: dict[str, None] = {}
+        for rank, start in hits:
+            span = slice(start, start + len(self.names[rank]))
+            if not any(taken[span]):
+                taken[span] = b"\x01" * len(self.names[rank])
+                ids[self.owners[rank]] = None
+        return list(ids), "".join(" " if t else ch for ch, t in zip(text, taken)) if ids else text
+
+
 class Analyser:
-    """Entities by their longest alias first, then noun runs of what is left."""
+    """Entities, runs of nouns and the terms of a unit, by a dictionary, stopwords and a tokenizer."""
 
     def __init__(self, entities: list[tuple[str, list[str]]], stopwords: set[str], cfg: Config, tokenize: Callable[[str], list[Token]] = morpheme_tokens):
-        named = [(unicodedata.normalize("NFKC", a), i) for i, aliases in entities for a in aliases if a]
-        self.aliases = sorted(named, key=lambda p: -len(p[0]))
-        self.stop, self.cfg, self.tokenize = stopwords, cfg, tokenize
-        self.content = re.compile(S.CONTENT_CHARACTER)
-
-    def entities(self, unit: str) -> tuple[list[str], str]:
-        """Ids in the order found and the unit with every mention blanked out, so that a shorter alias inside a longer one isn't found."""
-        found: dict[str, None] = {}
-        for alias, entity in self.aliases:
-            if alias in unit:
-                unit = unit.replace(alias, " " * len(alias))
-                found.setdefault(entity)
-        return list(found), unit
-
-    def keep_single(self, surface: str, pos: str, kind: str, lemma: str) -> bool:
-        if pos not in self.cfg.keep_pos or (pos == NOUN and kind not in NOUN_KINDS) or (pos == VERB and kind == VERB_KIND_DROPPED):
-            return False
-        if len(lemma) < self.cfg.min_term_len or SHORT_KANA_OR_LATIN.match(lemma) or lemma in self.stop or surface in self.stop:
-            return False
-        return bool(self.content.search(lemma))
+        self.aliases, self.stop, self.cfg, self.tokenize = Aliases(entities), frozenset(stopwords), cfg, tokenize
+        # a lemma that is long enough, holds a content character and isn't one or two letters of kana or Latin
+        self.lemma = re.compile(rf"(?!{SHORT_KANA_OR_LATIN.pattern[1:-1]}\Z)(?=[\s\S]*{S.CONTENT_CHARACTER})[\s\S]{{{cfg.min_term_len},}}")
+
+    def is_term(self, surface: str, lemma: str) -> bool:
+        return not self.stop & {surface, lemma} and bool(self.lemma.match(lemma))
+
+    def role(self, token: Token) -> str:
+        """What a token is to runs: `part` of one, a `word` of its own, or a `gap`."""
+        surface, pos, kind, lemma = token
+        if (pos, kind) in RUN_PARTS:
+            return "part" if surface.strip() else "gap"
+        lone = pos in self.cfg.keep_pos and pos not in (NOUN, PREFIX) and (pos, kind) != (VERB, VERB_KIND_DROPPED)
+        return "word" if lone and self.is_term(surface, lemma) else "gap"
 
     def runs(self, unit: str) -> tuple[list[str], list[list[list[str]]]]:
-        """(entity ids, runs of [surface, lemma]). Nouns and noun suffixes that touch are a run, a prefix ends one, other kept words stand alone."""
-        ids, rest = self.entities(unit)
+        """(entity ids, runs of [surface, lemma]): parts side by side are a run, a suffix in it by its surface."""
+        ids, rest = self.aliases.find(unit)
         out: list[list[list[str]]] = []
-        run: list[list[str]] = []
-        for surface, pos, kind, lemma in self.tokenize(rest):
-            member = (pos == NOUN and kind in NOUN_KINDS) or (pos == SUFFIX and kind == SUFFIX_KIND)
-            if member and surface.strip():
-                run.append([surface, surface if pos == SUFFIX else lemma])
-                continue
-            if run:
-                out.append(run)
-                run = []
-            if pos != PREFIX and pos != NOUN and self.keep_single(surface, pos, kind, lemma):
-                out.append([[surface, lemma]])
-        if run:
-            out.append(run)
+        for role, tokens in groupby(self.tokenize(rest), self.role):
+            words = [[surface, surface if pos == SUFFIX else lemma] for surface, pos, _, lemma in tokens]
+            out += [words] if role == "part" else [[w] for w in words] if role == "word" else []
         return ids, out
 
-    def nodes(self, runs: list, frequent: set[str]) -> list[str]:
-        """Term ids of the runs: from the left, the longest frequent compound that isn't a stopword, else a single word that is kept."""
-        found: set[str] = set()
+    def nodes(self, runs: list, frequent: Set[str]) -> list[str]:
+        """Term ids of the runs: from the left, the longest frequent compound that isn't a stopword, else a single term."""
+        terms: set[str] = set()
+        usable = frequent - self.stop
         for run in runs:
-            at = 0
-            while at < len(run):
-                step = 1
-                for size in range(min(self.cfg.compound_max_len, len(run) - at), 1, -1):
-                    word = "".join(lemma for _, lemma in run[at : at + size])
-                    if word in frequent and word not in self.stop:
-                        found.add(f"t:{word}")
-                        step = size
-                        break
-                else:
-                    surface, lemma = run[at]
-                    if self.keep_single(surface, NOUN, NOUN_KINDS[0], lemma):
-                        found.add(f"t:{lemma}")
-                at += step
-        return sorted(found)
+            left = [tuple(pair) for pair in run]
+            while left:
+                grown = list(accumulate(lemma for _, lemma in left[: self.cfg.compound_max_len]))
+                size = max((n for n, word in enumerate(grown, 1) if n > 1 and word in usable), default=1)
+                if size > 1 or ((NOUN in self.cfg.keep_pos) and self.is_term(*left[0])):
+                    terms.add("t:" + grown[size - 1])
+                del left[:size]
+        return sorted(terms)
 
 
 def unit_rows(docs: DataFrame, unit: str = "sentence") -> DataFrame:
@@ -174,28 +188,19 @@ def compound_frequency(analysed: DataFrame, cfg: Config) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("freq")).where(F.col("freq") >= cfg.compound_min_freq)
 
 
-def build_baskets(docs: DataFrame, analyser: Analyser, cfg: Config, broadcast_limit: int = 2_000_000) -> DataFrame:
+def build_baskets(docs: DataFrame, analyser: Analyser, cfg: Config) -> DataFrame:
     """(doc_id, date, unit, nodes, text) of units with at least two nodes.
 
-    Frequent compounds are sent to the workers while they are at most broadcast_limit; beyond it each unit gets those of
-    its own candidates by a join.
+    Each unit gets those of its own candidate compounds that are frequent, by a join, whatever their number.
     """
     analysed = analysed_units(unit_rows(docs, cfg.unit), analyser)
-    freq = cut(compound_frequency(analysed, cfg), "compounds")
-    if freq.count() <= broadcast_limit:
-        frequent = {r[0] for r in freq.select("word").toLocalIterator()}
-        shared = docs.sparkSession.sparkContext.broadcast(frequent)
-        known = analysed.withColumn("known", F.lit(None).cast("array<string>"))
-        lookup = lambda row_known: shared.value
-    else:
-        words = analysed.select("doc_id", "unit", F.explode(F.array_distinct(candidate_words(F.col("runs"), cfg.compound_max_len))).alias("word"))
-        own = words.join(freq.select("word"), "word", "left_semi").groupBy("doc_id", "unit").agg(F.collect_set("word").alias("known"))
-        known = analysed.join(own, ["doc_id", "unit"], "left")
-        lookup = lambda row_known: set(row_known) if row_known is not None else set()
+    words = analysed.select("doc_id", "unit", F.explode(F.array_distinct(candidate_words(F.col("runs"), cfg.compound_max_len))).alias("word"))
+    own = words.join(compound_frequency(analysed, cfg).select("word"), "word", "left_semi").groupBy("doc_id", "unit").agg(F.collect_set("word").alias("known"))
+    known = analysed.join(own, ["doc_id", "unit"], "left")
 
     def run(frames):
         for frame in frames:
-            terms = [analyser.nodes(r, lookup(k)) for r, k in zip(frame["runs"], frame["known"])]
+            terms = [analyser.nodes(r, frozenset(k if k is not None else ())) for r, k in zip(frame["runs"], frame["known"])]
             nodes = [sorted({*e, *t}) for e, t in zip(frame["entities"], terms)]
             yield frame[["doc_id", "date", "unit", "text"]].assign(nodes=nodes)
 
@@ -231,7 +236,7 @@ def entity_mentions(units: DataFrame, analyser: Analyser) -> DataFrame:
 
     def run(frames: pd.DataFrame):
         for frame in frames:
-            rows = [(d, u, e) for d, u, t in zip(frame["doc_id"], frame["unit"], frame["text"]) for e in analyser.entities(t)[0]]
+            rows = [(d, u, e) for d, u, t in zip(frame["doc_id"], frame["unit"], frame["text"]) for e in analyser.aliases.find(t)[0]]
             yield pd.DataFrame(rows, columns=["doc_id", "unit", "entity"])
 
     return units.select("doc_id", "unit", "text").mapInPandas(run, "doc_id string, unit int, entity string")

@@ -58,10 +58,10 @@ def analyse(spark: SparkSession, docs: DataFrame, entities: DataFrame, stopwords
     export.write_nodes_csv(at("nodes.csv"), node_rows)
     export.write_edges_csv(at("edges.csv"), edge_rows)
     export.write_articles_csv(at("articles.csv"), listed, labels)
-    export.write_gexf(at("network.gexf"), node_rows, edge_rows)
+    export.write_gexf(at("graph.gexf"), node_rows, edge_rows)
     data = export.payload(node_rows, edge_rows, listed, meta)
     export.write_json(at("graph.json"), data)
-    export.write_html(at("network.html"), data, "共起ネットワーク", export.GRAPH_SCRIPT)
+    export.write_html(at("graph.html"), data, "語のつながり", export.GRAPH_SCRIPT)
     export.write_html(at("articles.html"), data, "記事一覧", export.LIST_SCRIPT)
     text = export.report(meta, node_rows, edge_rows, rows(browse.entity_neighbourhoods(nodes, edges)), rows(browse.community_members(nodes)), listed)
     Path(at("report.md")).write_text(text, encoding="utf-8")

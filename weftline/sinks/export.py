@@ -163,7 +163,7 @@ def _table(header: list[str], rows: Iterable[list]) -> list[str]:
 
 def report(meta: dict, nodes: list[dict], edges: list[dict], neighbourhoods: list[dict], communities: list[dict], recent: list[dict]) -> str:
     """The ranked sections as Markdown; an empty graph says so and ends there."""
-    lines = ["# 共起ネットワーク 分析レポート", "", f"生成: {meta.get('generated_at', '')}", "", "| 項目 | 値 |", "|---|---|"]
+    lines = ["# 語のつながり 分析レポート", "", f"生成: {meta.get('generated_at', '')}", "", "| 項目 | 値 |", "|---|---|"]
     lines += [f"| 記事数 | {meta['n_articles']} |", f"| 対象期間 | {meta['period']} |", f"| 共起単位数 | {meta['n_baskets']} |"]
     lines += [f"| ノード数 | {len(nodes)}（絞り込み前 {meta['n_nodes_before']}） |", f"| エッジ数 | {len(edges)}（絞り込み前 {meta['n_edges_before']}） |", ""]
     if not nodes:
