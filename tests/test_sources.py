@@ -27,6 +27,33 @@ def test_list_page():
     assert found[1]["published"] == "2026-08-01"
 
 
+def test_dates_of_a_list_belong_to_the_nearest_link():
+    page = "2026-08-14 <a href='/n/2'>second entry</a> <a href='/n/3'>third entry</a> 2026-08-10 <a href='/n/4'>fourth 2026-01-01</a><a href='/2025/02/03/n/5?d=2024-01-01'>fifth entry</a>"
+    found = {e["title"]: e["published"] for e in feeds.parse_links(page, "https://n.example/", "/n/")}
+    assert found == {"second entry": "2026-08-14", "third entry": "2026-08-10", "fourth 2026-01-01": "2026-08-10", "fifth entry": "2025-02-03"}
+    nested = feeds.parse_links("<a href='/n/1'>outer <a href='/n/2'>inner</a> words</a> 2026-08-10", "https://n.example/", "/n/")
+    assert [(e["title"], e["published"]) for e in nested] == [("outer inner words", "2026-08-10")]
+
+
+def test_publisher_only_after_a_spaced_dash(spark):
+    from weftline.functions import scalars as S
+
+    cases = [("Interview with NHK", "NHK"), ("Hall opens - NHK", "NHK"), ("NHK", "NHK"), ("Hall opens – mc-x.com", "mc-x.com"), ("Hall opens - Daily", "Other"), ("Hall opens-NHK", "NHK"), ("Plain", None), ("A - x (b) ", r"x (b)"), (r"A - \\E.", r"\\E.")]
+    want = [("Interview with NHK", "NHK"), ("Hall opens", "NHK"), ("NHK", "NHK"), ("Hall opens", "mc-x.com"), ("Hall opens", "Other"), ("Hall opens-NHK", "NHK"), ("Plain", ""), ("A", r"x (b)"), ("A", r"\\E.")]
+    assert [S.cut_publisher(t, p or "") for t, p in cases] == want
+    title, publisher = S.split_publisher(S.F.col("t"), S.F.col("p"))
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, p string").select("i", title.alias("t"), publisher.alias("p")).orderBy("i").collect()
+    assert [(r.t, r.p) for r in rows] == want
+
+
+def test_atom_links_and_blocks():
+    atom = b'<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Only self</title><link rel="self" href="https://n.example/c"/></entry></feed>'
+    assert feeds.parse_feed(atom) == []
+    from weftline.functions.scalars import strip_html
+
+    assert strip_html("<p>one</p><p>two</p>") == "one\n\ntwo" and strip_html("a &amp; b") == "a &amp; b" and strip_html(None) is None
+
+
 def test_failing_source_is_a_row(spark):
     pages = spark.createDataFrame([("a", "rss", "u", "", bytearray(RSS)), ("b", "rss", "u", "", bytearray(b"no xml"))], "source_id string, kind string, url string, link_pattern string, content binary")
     got = {(r.source_id, r.error is None, r.title) for r in feeds.scan_pages(pages).collect()}

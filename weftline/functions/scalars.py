@@ -6,7 +6,6 @@ import re
 import unicodedata
 from datetime import date, datetime
 from email.utils import parsedate_to_datetime
-from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 
@@ -145,13 +144,22 @@ def absolute_url_udf(base: pd.Series, link: pd.Series) -> pd.Series:
     return pd.Series([None if link_ is None else urljoin(base_ or "", link_) for base_, link_ in zip(base, link)], dtype=object)
 
 
+def cut_publisher(title: str, publisher: str) -> tuple[str, str]:
+    """Title without the publisher after a spaced dash at its end, and the publisher: the known one, else what stands there."""
+    known = publisher and re.search(r"\s[-–—]\s" + re.escape(publisher) + r"\s*$", title)
+    if known:
+        return title[: known.start()], publisher
+    tail = re.search(TRAILING_PUBLISHER, title)
+    return (title[: tail.start()].strip(), publisher or tail[1].strip()) if tail else (title, publisher)
+
+
 def split_publisher(title: Column, publisher: Column) -> tuple[Column, Column]:
-    """Title without the publisher at its end, and the publisher: the known one goes first, else what follows a dash."""
+    """The same as columns; a null publisher is an empty one."""
     known = F.coalesce(publisher, F.lit(""))
-    suffix = F.regexp_extract(title, TRAILING_PUBLISHER, 1)
-    ends = (known != "") & F.endswith(title, known)
-    without = F.regexp_replace(F.substr(title, F.lit(1), F.length(title) - F.length(known)), r"(?U)\s*[-–—]\s*$", "")
-    cut = F.when(ends, strip(without)).when(suffix != "", strip(F.regexp_replace(title, TRAILING_PUBLISHER, ""))).otherwise(title)
+    end = F.concat(F.lit(r"(?U)\s[-–—]\s\Q"), F.replace(known, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\s*$"))
+    tail = "(?U)" + TRAILING_PUBLISHER
+    suffix = F.regexp_extract(title, tail, 1)
+    cut = F.when((known != "") & F.regexp_like(title, end), F.regexp_replace(title, end, F.lit(""))).when(suffix != "", strip(F.regexp_replace(title, tail, ""))).otherwise(title)
     return cut, F.when(known != "", known).otherwise(strip(suffix))
 
 
@@ -254,9 +262,10 @@ def html_text(page: str | None) -> tuple[str, str]:
 
 
 def strip_html(value: str | None) -> str | None:
+    """The text of a piece of HTML, blocks on lines of their own; what holds no tag is only normalised."""
     if value is None:
         return None
-    return normalize_text(value) if "<" not in value else normalize_text(re.sub(r"\s*\n\s*", " ", html_text(unescape(value))[1]))
+    return normalize_text(value) if "<" not in value else html_text(value)[1]
 
 
 @F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType())]))

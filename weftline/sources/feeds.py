@@ -7,7 +7,7 @@ import time
 import urllib.request
 import xml.etree.ElementTree as ET
 from html.parser import HTMLParser
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -59,17 +59,11 @@ def parse_feed(raw: bytes) -> list[dict]:
             continue
         link = _words(_child(entry, "link"))
         if not link:
-            links = [c for c in entry if _name(c) == "link" and c.get("href")]
-            link = next((c.get("href") for c in links if c.get("rel", "alternate") == "alternate"), links[0].get("href") if links else "")
+            link = next((c.get("href", "") for c in entry if _name(c) == "link" and c.get("rel", "alternate") == "alternate"), "")
         title = S.strip_html(_words(_child(entry, "title"))) or ""
         if not link or not title:
             continue
-        publisher = _words(_child(entry, "source"))
-        if publisher and title.endswith(publisher) and title != publisher:
-            title = re.sub(r"\s*[-–—]\s*$", "", title[: -len(publisher)]).strip()
-        elif tail := re.search(S.TRAILING_PUBLISHER, title):
-            publisher = publisher or tail[1].strip()
-            title = title[: tail.start()].strip()
+        title, publisher = S.cut_publisher(title, _words(_child(entry, "source")))
         summary = S.strip_html(_words(_child(entry, "description", "summary", "content", "encoded"))) or ""
         if summary == title or summary.startswith(title[:20]):
             summary = ""
@@ -79,61 +73,62 @@ def parse_feed(raw: bytes) -> list[dict]:
 
 
 class _Links(HTMLParser):
-    """Every link with its text and its place in the page's text."""
+    """A page as stretches of text and links (address, words) in turn; links inside a link belong to it."""
 
     HIDDEN = {"script", "style", "noscript", "svg", "head"}
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.text, self.size, self.links, self.open, self.hidden, self.feeds = [], 0, [], None, 0, []
+        self.parts, self.hidden, self.nested, self.feeds = [""], 0, 0, []
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
         if tag == "link" and "xml" in (attrs.get("type") or ""):
             self.feeds.append(attrs.get("href") or "")
-        if tag in self.HIDDEN:
-            self.hidden += 1
-        if tag == "a" and attrs.get("href"):
-            self.open = [attrs["href"], self.size, []]
+        self.hidden += tag in self.HIDDEN
+        if tag == "a" and not self.hidden:
+            self.nested += 1
+            if self.nested == 1:
+                self.parts.append([attrs.get("href") or "", ""])
 
     def handle_endtag(self, tag):
-        if tag in self.HIDDEN:
-            self.hidden = max(0, self.hidden - 1)
-        if tag == "a" and self.open:
-            href, start, words = self.open
-            self.links.append((href, "".join(words), start, self.size))
-            self.open = None
+        self.hidden -= tag in self.HIDDEN and self.hidden > 0
+        if tag == "a" and self.nested and not self.hidden:
+            self.nested -= 1
+            if not self.nested:
+                self.parts.append("")
 
     def handle_data(self, data):
         if self.hidden:
             return
-        self.text.append(data)
-        self.size += len(data)
-        if self.open:
-            self.open[2].append(data)
+        if self.nested:
+            self.parts[-1][1] += data
+        else:
+            self.parts[-1] += data
 
 
 def parse_links(page: str, base: str, pattern: str) -> list[dict]:
     """Items of a list page: links whose address matches, with a title of five characters or more, each address once.
 
-    The date is the last one of the 80 characters before the link, else the first of the 80 after it, of the title or of the address.
+    The date is the last one of the 80 characters between the link before and this one, else the first of the 80 between
+    it and the next, of the title or of the address's path.
     """
     if not pattern:
         raise ValueError("a list page needs a link pattern")
     reader = _Links()
     reader.feed(page or "")
     reader.close()
-    whole, seen, out = "".join(reader.text), set(), []
-    for href, words, start, end in reader.links:
-        if href.startswith(("#", "javascript:", "mailto:")):
+    parts = reader.parts + [""] * (len(reader.parts) % 2 == 0)  # a link that never ends is one, too
+    found: dict[str, dict] = {}
+    for before, (href, words), after in zip(parts[::2], parts[1::2], parts[2::2]):
+        if not href or href.startswith(("#", "javascript:", "mailto:")):
             continue
-        url, title = S.canonical_url(urljoin(base, href)), S.normalize_text(" ".join(words.split())) or ""
-        if not re.search(pattern, url) or len(title) < MIN_TITLE or url in seen:
+        url, title = S.canonical_url(urljoin(base, href)), S.normalize_text(words) or ""
+        if url in found or len(title) < MIN_TITLE or not re.search(pattern, url):
             continue
-        seen.add(url)
-        day = S.last_date(whole[max(0, start - DATE_REACH) : start]) or S.first_date(whole[end : end + DATE_REACH]) or S.first_date(title) or S.first_date(url)
-        out.append({"title": title, "url": url, "summary": "", "published": day, "publisher": ""})
-    return out
+        day = S.last_date(before[-DATE_REACH:]) or S.first_date(after[:DATE_REACH]) or S.first_date(title) or S.first_date(urlsplit(url).path)
+        found[url] = {"title": title, "url": url, "summary": "", "published": day, "publisher": ""}
+    return list(found.values())
 
 
 def _entries(frames):
@@ -175,7 +170,7 @@ def probe(raw: bytes, base: str) -> dict:
         pass
     reader = _Links()
     reader.feed(S.decode_page(raw) or "")
-    links = [(urljoin(base, h), " ".join(t.split())) for h, t, _, _ in reader.links if not h.startswith(("#", "javascript:", "mailto:"))]
+    links = [(urljoin(base, h), " ".join(t.split())) for h, t in reader.parts[1::2] if h and not h.startswith(("#", "javascript:", "mailto:"))]
     feeds = [urljoin(base, f) for f in reader.feeds if f] + [u for u, _ in links if re.search(r"(?:xml|rdf|rss)$", u)]
     return {"feeds": list(dict.fromkeys(feeds)), "links": links[:10]}
 
