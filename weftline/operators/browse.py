@@ -162,3 +162,21 @@ def community_members(nodes: DataFrame, top: int = 10, k: int = 12) -> DataFrame
     heads = nodes.withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= k).groupBy("community").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "label"))), lambda s: s.label).alias("labels"))
     sizes = nodes.groupBy("community").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "community").limit(top)
     return sizes.join(heads, "community").orderBy(F.desc("size"), "community")
+
+
+def top_nodes(nodes: DataFrame, k: int = 30) -> DataFrame:
+    """The nodes in most baskets, with their place."""
+    best = nodes.orderBy(F.desc("df"), "id").limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("df"), "id")))
+
+
+def surprise_ranking(edges: DataFrame, k: int = 20) -> DataFrame:
+    """The pairs that gained most, with their place."""
+    order = [F.desc("surprise"), F.col("a"), F.col("b")]
+    best = edges.where("surprise is not null").orderBy(*order).limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
+def node_articles(articles: DataFrame, node: str) -> DataFrame:
+    """Articles that hold a node, in the order of the list."""
+    return articles.where(F.array_contains("nodes", node)).select("pos", "doc_id", "date", "title")

@@ -16,6 +16,7 @@ from weftline.functions import scalars as S
 from weftline.operators import browse, collect, cooccur, textproc, timestamps
 from weftline.plans import analysis
 from weftline.runtime import cut, table
+from weftline.sources import feeds
 from weftline.sources.articles import distinct_bodies
 
 CFG = Config(min_df=4, min_cooc=3, min_npmi=0.25)
@@ -324,7 +325,41 @@ def cluster_summary(spark, d):
     return browse.cluster_summary(graph_communities(spark, d)).withColumn("labels", F.array_join("labels", " "))
 
 
+def top_nodes(spark, d):
+    return browse.top_nodes(_graph_nodes(spark, d, _edges(spark, d))).select("rank", "id", "label", "df", "degree")
+
+
+def surprise_ranking(spark, d):
+    return browse.surprise_ranking(trend_surprise(spark, d)).select("rank", "a", "b", "surprise", "is_new")
+
+
+def node_articles(spark, d):
+    return browse.node_articles(_articles(spark, d), "t:conservation")
+
+
+def template_free_bodies(spark, d):
+    pages = _docs(spark, d).where("source is not null and body is not null").select(F.col("source").alias("batch"), F.col("doc_id").alias("page"), "body")
+    return collect.without_template_lines(pages).select(F.col("page").alias("doc_id"), "body")
+
+
+def html_to_text(spark, d):
+    """Pages made of each doc's id, path and tier, with what a page has around them."""
+    field = lambda c: F.coalesce(F.col(c), F.lit("none"))
+    page = F.concat(F.lit("<html><head><title>Page "), field("doc_id"), F.lit("</title><style>p {}</style></head><body><nav>menu</nav><p>"), field("path"), F.lit("<br>second &amp; line</p><div>"), field("tier"), F.lit("<script>x</script></div></body></html>"))
+    return table(spark, d, "docs").select("path", S.html_text_udf(page).alias("h")).select("path", F.col("h.title").alias("title"), F.col("h.text").alias("text"))
+
+
+def link_list_items(spark, d):
+    """A list page for each doc: a link before it, the day of some before its link and of all after it."""
+    id_ = F.col("doc_id")
+    day = F.when(id_ < "8", F.lit("2026-08-14 ")).otherwise(F.lit(""))
+    page = F.concat(F.lit("2020-01-01 <a href='/top'>top entry</a> "), day, F.lit("<a href='/a/"), id_, F.lit("?utm_source=x&amp;id="), id_, F.lit("#top'>Article "), id_, F.lit("</a> 2026-08-10 <a href='javascript:x()'>no entry</a>"))
+    pages = _docs(spark, d).where("doc_id is not null").select(F.lit("https://h.example/list/").alias("url"), page.alias("html"))
+    return feeds.list_links(pages, "/a/").select("title", "url", "published")
+
+
 QUERIES = {f.__name__: f for f in (
+    top_nodes, surprise_ranking, node_articles, template_free_bodies, html_to_text, link_list_items,
     p3_found, dedup_exact_body, sentence_units, paragraph_units, content_lines, clean_bodies, shared_template_lines, analysis_text, title_keys, title_key_dedup, history_anti_join,
     canonical_urls, doc_hash_ids, normalize_dates, age_filter, title_pattern_filter, max_items_per_source, source_run_metrics, stored_articles, useful_summaries, publisher_split,
     snippets, escaped_titles, collect_events_daily, term_df, pair_counts, npmi_edges, npmi_edges_topk, basket_npmi_orders, trend_surprise, prefilter_stats, distinct_dates,
@@ -395,7 +430,45 @@ p as (select x.node as a, y.node as b, count(*) as cooc, count_if(r) as cr, coun
 z as (select a, b, cooc, fa.df as da, fb.df as db, cr, co, {_score('cooc', 'fa.df', 'fb.df', 'tot.n')} as s, coalesce({_score('cr', 'fa.dr', 'fb.dr', 'nr')}, 0.0) as now, coalesce({_score('co', 'fa.dold', 'fb.dold', 'no')}, 0.0) as was
   from p join f2 fa on fa.node = a join f2 fb on fb.node = b, tot where fa.df >= 4 and fb.df >= 4)"""
 
+#: The dictionary's names in the order in which they are looked for, each with a character of its own at the end.
+_NAMES = """named as (select alias, min(id) as id from (select id, unnest(aliases) as alias from entities union all select id, label from entities) where alias <> '' group by alias),
+ranked as (select *, chr(cast(57344 + row_number() over (order by length(alias) desc, alias) as int)) as mark from named),
+names as (select list(alias || mark order by mark) as l from ranked)"""
+_MASK = "list_reduce(list_concat([text], (select l from names)), lambda t, y: replace(t, y[1:len(y) - 1], y[len(y):]))"
+
+
+def _units(x: str) -> str:
+    return f"""list_filter(list_transform(string_split_regex(regexp_replace({x}, '([。！？!?])\\s*', '\\1' || chr(1), 'g'), chr(1) || '|\\n+'), lambda x: {_strip('x')}), lambda x: length(x) >= 4 and regexp_matches(x, '{S.CONTENT_CHARACTER}'))"""
+
+
+_STOP = ", ".join(f"'{w}'" for w in sorted(textproc.LATIN_STOP))
 SQL = {
+    "top_nodes": f"with {_EDGES} select cast(row_number() over (order by df desc, id) as int) as rank, id, label, df, degree from gnode order by df desc, id limit 30",
+    "surprise_ranking": f"""with {_TREND}, t as (select a, b, round(now - was, 4) as surprise, co = 0 and cr > 0 as is_new from z where s >= 0.25)
+      select cast(row_number() over (order by surprise desc, a, b) as int) as rank, * from t order by surprise desc, a, b limit 20""",
+    "node_articles": f"with {_ARTICLES} select pos, doc_id, date, title from art where list_contains(nodes, 't:conservation')",
+    "template_free_bodies": f"""with pages as (select source as batch, doc_id, body from {_ONE_DOC} where source is not null and body is not null), n as (select batch, count(*) as n from pages group by batch),
+      lined as (select *, {_strip('raw')} as line from (select batch, doc_id, unnest(string_split(body, chr(10))) as raw, generate_subscripts(string_split(body, chr(10)), 1) as nth from pages)),
+      c as (select batch, line, count(distinct doc_id) as pages from lined where line <> '' group by batch, line),
+      t as (select batch, line from c join n using (batch) where n >= 3 and pages >= greatest(3, floor(n * 0.4))),
+      k as (select doc_id, string_agg(raw, chr(10) order by nth) as body from lined anti join t using (batch, line) group by doc_id)
+      select pages.doc_id, k.body from pages left join k using (doc_id)""",
+    "html_to_text": "select path, 'Page ' || coalesce(doc_id, 'none') as title, coalesce(path, 'none') || chr(10) || 'second & line' || chr(10) || chr(10) || coalesce(tier, 'none') as text from docs",
+    "link_list_items": f"select 'Article ' || doc_id as title, 'https://h.example/a/' || doc_id || '?id=' || doc_id as url, case when doc_id < '8' then '2026-08-14' else '2026-08-10' end as published from {_ONE_DOC} where doc_id is not null",
+    "publisher_split": f"""with t as (select item_id, title, coalesce(publisher, '') as known, '{_SPACE}[-–—]{_SPACE}' || regexp_escape(coalesce(publisher, '')) || '{_SPACE}*$' as ends, '{_SPACE}+[-–—]{_SPACE}+([^-–—]{{2,30}})$' as tail from feed_items)
+      select item_id, case when known <> '' and regexp_matches(title, ends) then regexp_replace(title, ends, '') when regexp_matches(title, tail) then {_strip("regexp_replace(title, tail, '')")} else title end as title,
+      case when known <> '' then known when title is null then null else {_strip("regexp_extract(title, tail, 1)")} end as publisher from t""",
+    "entity_mask": f"""with {_NAMES}, whole as (select doc_id, case when coalesce(title, '') <> '' and not starts_with(body, title) then title || '。' || chr(10) || body else body end as t from {_ONE_DOC} where body is not null),
+      u as (select doc_id, generate_subscripts(l, 1) - 1 as unit, unnest(l) as text from (select doc_id, {_units('t')} as l from whole)),
+      m as (select doc_id, unit, {_MASK} as masked from u)
+      select distinct doc_id, cast(unit as int) as unit, id as entity from m join ranked on contains(masked, mark)""",
+    "compound_frequency": f"""with {_NAMES}, u as (select doc_id, generate_subscripts(l, 1) as unit, unnest(l) as text from (select doc_id, {_units('text')} as l from documents where text is not null)),
+      r as (select doc_id, unit, unnest(rs) as run, generate_subscripts(rs, 1) as nr from (select doc_id, unit, regexp_extract_all(lower({_MASK}), '[a-zà-ÿ]{{3,}}( [a-zà-ÿ]{{3,}})*') as rs from u)),
+      w as (select doc_id, unit, nr, unnest(ws) as word, generate_subscripts(ws, 1) as nth from (select *, string_split(run, ' ') as ws from r)),
+      g as (select *, sum(case when word in ({_STOP}) then 1 else 0 end) over (partition by doc_id, unit, nr order by nth) as part from w),
+      seq as (select list(word order by nth) as ws from g where word not in ({_STOP}) group by doc_id, unit, nr, part),
+      n as (select unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ''))) as word from seq, (select unnest([2, 3, 4]) as k) where len(ws) >= k)
+      select word, count(*) as freq from n group by word having count(*) >= {CFG.compound_min_freq}""",
     "dedup_exact_body": "select doc_id, path from (select doc_id, path, row_number() over (partition by body order by string_split(path, '/'), doc_id) as nth from docs where body is not null) where nth = 1",
     "sentence_units": f"""select doc_id, cast(generate_subscripts(l, 1) - 1 as int) as unit, unnest(l) as text from (select doc_id, list_filter(list_transform(
       string_split_regex(regexp_replace(text, '([。！？!?])\\s*', '\\1' || chr(1), 'g'), chr(1) || '|\\n+'), lambda x: {_strip('x')}), lambda x: length(x) >= 4 and regexp_matches(x, '{S.CONTENT_CHARACTER}')) as l from documents where text is not null)""",
