@@ -54,3 +54,13 @@ def test_rows(spark, listed):
     src = spark.createDataFrame([("s", "Asia/Tokyo", "JP")], "id string, tz string, country string")
     assert listed(normalised_times(docs, items, src)) == [("doc_date", "a", "2026-01-02 00:00:00.000000"), ("item_published", "7", "2026-01-02")]
     assert normalised_times(docs.limit(0), items.limit(0), src.limit(0)).count() == 0
+
+
+def test_long_values_are_read():
+    import time
+
+    assert parse_time(" " * 5000 + "2026-08-14 10:00:00 UTC" + "\t" * 5000) == "2026-08-14 10:00:00.000000"
+    began = time.time()
+    for text in ("9" * 200_000, "1:" * 100_000, "word 1 " * 40_000, "+0" * 100_000):
+        parse_time(text, "UTC", "JP")
+    assert time.time() - began < 20

@@ -158,9 +158,9 @@ def parse_time(raw: str | None, tz: str | None = None, country: str | None = Non
 
     Null, empty, wordy and impossible values (30 February, 25:00, month 13 in the country's order) give None; so does
     a wall time without zone where tz is null or unknown. Digits of any script and full-width forms are read; years
-    from 2401 to 2699 are Buddhist ones; fractions are cut to microseconds.
+    from 2401 to 2699 are Buddhist ones; fractions are cut to microseconds. A value of any length is read whole.
     """
-    if raw is None or len(raw) > 200:
+    if raw is None:
         return None
     try:
         return _parse(raw, tz, country)

@@ -455,6 +455,11 @@ SQL = {
       select pages.doc_id, k.body from pages left join k using (doc_id)""",
     "html_to_text": "select path, 'Page ' || coalesce(doc_id, 'none') as title, coalesce(path, 'none') || chr(10) || 'second & line' || chr(10) || chr(10) || coalesce(tier, 'none') as text from docs",
     "link_list_items": f"select 'Article ' || doc_id as title, 'https://h.example/a/' || doc_id || '?id=' || doc_id as url, case when doc_id < '8' then '2026-08-14' else '2026-08-10' end as published from {_ONE_DOC} where doc_id is not null",
+    "canonical_urls": f"""with t as (select item_id, {_strip("url")} as u from feed_items),
+      p as (select item_id, u, split_part(u, '#', 1) as w from t),
+      q as (select item_id, u, regexp_replace(split_part(w, '?', 1), '^([A-Za-z][A-Za-z0-9+.-]*):', lower(regexp_extract(w, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || ':') as base,
+        list_filter(string_split(case when contains(w, '?') then w[position('?' in w) + 1:] else '' end, '&'), lambda x: x <> '' and not regexp_matches(split_part(x, '=', 1), '{S.TRACKING_KEYS}')) as ks from p)
+      select item_id, base || case when len(ks) > 0 then '?' || array_to_string(list_transform(ks, lambda x: case when contains(x, '=') then x else x || '=' end), '&') else '' end as url from q""",
     "publisher_split": f"""with t as (select item_id, title, coalesce(publisher, '') as known, '{_SPACE}[-–—]{_SPACE}' || regexp_escape(coalesce(publisher, '')) || '{_SPACE}*$' as ends, '{_SPACE}+[-–—]{_SPACE}+([^-–—]{{2,30}})$' as tail from feed_items)
       select item_id, case when known <> '' and regexp_matches(title, ends) then regexp_replace(title, ends, '') when regexp_matches(title, tail) then {_strip("regexp_replace(title, tail, '')")} else title end as title,
       case when known <> '' then known when title is null then null else {_strip("regexp_extract(title, tail, 1)")} end as publisher from t""",
