@@ -35,7 +35,7 @@ def test_sentences():
 def test_sentence_spans_are_whole(spark):
     text = "一つ。 二つ！\r\n\r\n Three. Four"
     spans = sentences.sentence_spans(text)
-    assert [text[a:b] for _, a, b, _ in spans] == ["一つ。", "二つ！", "Three.", "Four"]
+    assert [text[a:b] for _, _, a, b, _ in spans] == ["一つ。", "二つ！", "Three.", "Four"]
     assert [f for *_, f in spans] == [True, False, True, False] and sentences.sentence_spans(None) == []
     assert len(sentences.sentence_spans("One two. " * 50_000)) == 50_000
 
@@ -154,3 +154,39 @@ def test_quotations_are_no_menus(spark):
     src = spark.createDataFrame([], "id string, name string")
     found = {tuple(r)[1:] for r in boilerplate.page_furniture(spark.createDataFrame(docs, DOCS), empty, src).collect()}
     assert found == {(f"d{i}", n) for i in range(20) for n in (1, 2, 3)} | {("e", 4)}
+
+
+def test_list_levels():
+    text = "Intro text.\n1. First item. It goes on.\n   a) inner one\n   b) inner two\n      more of it\n2. Second item\n- flat\n(1) other kind\n(2) goes on\n- flat again\nText that ends all."
+    levels = [(line, level) for line, level, *_ in sentences.sentence_spans(text)]
+    assert levels == [(1, 0), (2, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 1), (7, 2), (8, 3), (9, 3), (10, 2), (11, 0)]
+    assert [level for _, level, *_ in sentences.sentence_spans("一、序論\n（1）細目\n（2）細目\n二、本論\n文。")] == [1, 2, 2, 1, 0]
+
+
+def test_long_lines_take_linear_time():
+    import time
+
+    for line in ("(" * 60_000 + ")" * 60_000, '("' * 60_000, "„x“ (y) " * 40_000, "1. 2. 3. " * 40_000, "Am 5. März kam er. " * 20_000, "「あ。」と言う。" * 30_000, "(a.) b. " * 40_000):
+        began = time.time()
+        sentences.sentence_spans(line)
+        assert time.time() - began < 6, line[:9]
+
+
+def test_open_marks_match_a_search_through_the_stack():
+    rng = random.Random(3)
+    for _ in range(2000):
+        line = "".join(rng.choices("()[]「」“”„\"'’a", k=rng.randrange(0, 30)))
+        marks = [i for i, ch in enumerate(line) if ch in sentences.PAIRS or ch in sentences._CLOSE or ch == '"']
+        stack, want = [], {}
+        for at in marks:
+            ch = line[at]
+            if ch == "’" and 0 < at < len(line) - 1 and line[at + 1].isalpha() and line[at - 1].isalpha():
+                continue
+            kinds = ['"'] if ch == '"' else sentences._CLOSE.get(ch, [])
+            k = next((k for k in range(len(stack) - 1, -1, -1) if line[stack[k]] in kinds), None)
+            if k is not None:
+                want[stack[k]] = at
+                del stack[k:]
+            elif ch == '"' or ch in sentences.PAIRS:
+                stack.append(at)
+        assert sentences._matches(line, marks) == want

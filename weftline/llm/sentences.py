@@ -1,7 +1,7 @@
 """Sentence boundaries across languages and scripts (problem 4).
 
-A pushdown automaton walks over the marks of each line. Its stack holds open quotation marks, brackets and the list
-level the line begins with; a terminator counts only while the stack is empty, or where it closes a quotation that
+A pushdown automaton walks over the marks of each line. Its stack holds open quotation marks and brackets, and a second
+one the open levels of lists from line to line, which each sentence comes out with; a terminator counts only while the stack is empty, or where it closes a quotation that
 the next sentence follows. A trie of abbreviations, the digits around a full stop and the case of what follows decide
 what a full stop is. Thai has no terminators: there a blank ends a sentence unless what stands beside it needs it.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,7 +44,9 @@ for _o, _c in PAIRS.items():
 _MARKS = re.compile("[" + re.escape("".join({*PAIRS, *_CLOSE, *ALWAYS, *NEED_BLANK, '"'})) + "]")
 _BLANKS = " \t\r　 ​‎‏  ﻿\x0b\x0c\x85    "
 _NOT_BLANK = re.compile("[^" + _BLANKS + "]")
+_BEFORE_LEVEL = re.compile("[" + _BLANKS + "\\-–—*•・#]*")
 _LIST_MARK = re.compile(r"\s*(?:[-–—*•・◆■□●○▶▷※]\s*)?(?:[（(]?\s*(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,4}|[一二三四五六七八九十]{1,3})\s*[.)）．、]\s)")
+_ITEM = re.compile(r"(?:([-–—*•・◆■□●○▶▷※])[\s　]*(?=\S)|([（(])?(?:(\d{1,3})|([a-zA-Z])|([一二三四五六七八九十]))([.)）．、])(?=[\s　]|(?<=[)）．、])\S))")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ々〆]")
 _THAI = re.compile(r"[฀-๿]")
 _WORD_END = re.compile(r"(?:[^\W\d_](?:[̀-ͯऀ-ःऺ-ॏॢॣ])*\.?[-’']?)+$")
@@ -72,33 +75,85 @@ def _ends_with(trie: dict, line: str, stop: int) -> str | None:
     return found
 
 
+class _Open:
+    """The stack of open marks; the topmost one of a kind is found without going through it."""
+
+    def __init__(self):
+        self.marks: list[tuple[int, str]] = []
+        self.of: dict[str, list[int]] = {}  # heights at which marks of a kind stand
+
+    def push(self, at: int, ch: str) -> None:
+        self.of.setdefault(ch, []).append(len(self.marks))
+        self.marks.append((at, ch))
+
+    def close(self, kinds: list[str]) -> int | None:
+        """Takes down the stack as far as the topmost mark of these kinds and gives its place; None if none is open."""
+        height = max((self.of[k][-1] for k in kinds if self.of.get(k)), default=-1)
+        if height < 0:
+            return None
+        at = self.marks[height][0]
+        while len(self.marks) > height:
+            self.of[self.marks.pop()[1]].pop()
+        return at
+
+
 def _matches(line: str, marks: list[int]) -> dict[int, int]:
     """Position of each mark that opens -> position of the mark that closes it; unmatched marks are left out."""
-    stack: list[int] = []
+    stack = _Open()
     out: dict[int, int] = {}
     for at in marks:
         ch = line[at]
+        opened = None
         if ch == '"':
-            opened = next((k for k in range(len(stack) - 1, -1, -1) if line[stack[k]] == '"'), None)
+            opened = stack.close(['"'])
             if opened is None:
-                stack.append(at)
-            else:
-                out[stack[opened]] = at
-                del stack[opened:]
-            continue
-        opened = None
-        if ch in _CLOSE:
+                stack.push(at, ch)
+        elif ch in _CLOSE:
             if ch == "’" and at + 1 < len(line) and line[at + 1].isalpha() and at and line[at - 1].isalpha():
                 continue  # an apostrophe
-            opened = next((k for k in range(len(stack) - 1, -1, -1) if line[stack[k]] in _CLOSE[ch]), None)
+            opened = stack.close(_CLOSE[ch])
         if opened is not None:
-            out[stack[opened]] = at
-            del stack[opened:]
+            out[opened] = at
         elif ch in PAIRS:
-            stack.append(at)
+            stack.push(at, ch)
     return out
 
 
+class Levels:
+    """The open levels of lists, line by line: (indent, kind of marker, ordinal)."""
+
+    def __init__(self):
+        self.stack: list[tuple[int, str, int]] = []
+
+    def line(self, line: str) -> int:
+        """How many levels are open in a line. An item opens one or goes on with the one it belongs to; text left of an item closes it."""
+        body = _skip(line, 0)
+        if body >= len(line):
+            return len(self.stack)
+        m = _ITEM.match(line, body)
+        if not m:
+            while self.stack and body <= self.stack[-1][0]:
+                self.stack.pop()
+            return len(self.stack)
+        kind, ordinal = self._marker(m)
+        while self.stack and self.stack[-1][0] > body:
+            self.stack.pop()
+        # the level this item goes on with, which may lie below levels that weren't indented
+        same = [k for k, (indent, other, _) in enumerate(self.stack) if indent == body and other == kind]
+        if same:
+            del self.stack[same[-1] :]
+        self.stack.append((body, kind, ordinal))
+        return len(self.stack)
+
+    @staticmethod
+    def _marker(m: re.Match) -> tuple[str, int]:
+        bullet, opened, number, letter, han, closed = m.groups()
+        if bullet:
+            return bullet, 0
+        kind = ("(" if opened else "") + ("0" if number else "a" if letter and letter.islower() else "A" if letter else "一") + {"）": ")", "．": "."}.get(closed, closed)
+        return kind, int(number) if number else ord(letter) if letter else "一二三四五六七八九十".index(han) + 1
+
+
 def _skip(line: str, at: int) -> int:
     m = _NOT_BLANK.search(line, at)
     return m.start() if m else len(line)
@@ -114,6 +169,16 @@ def _upper_next(line: str, at: int) -> bool:
 _CAMEL = re.compile(r"[^\W\d_]?[a-zà-ÿ]{1,2}[A-Z]")
 
 
+@lru_cache(maxsize=4)
+def _german(line: str) -> bool:
+    return bool(GERMAN.search(line))
+
+
+@lru_cache(maxsize=4)
+def _holds_cjk(line: str) -> bool:
+    return bool(_CJK.search(line))
+
+
 def _lower(line: str, at: int) -> bool:
     """A word in lower case; a name like eBook isn't one."""
     return line[at].islower() and not _CAMEL.match(line, at)
@@ -144,9 +209,9 @@ def _full_stop(line: str, at: int, after: int, start: int) -> bool:
         number = line[head:at]
         if follow.isdigit() or _CJK.match(follow):
             return False
-        if not line[start:head].strip(_BLANKS + "-–—*•・#"):
+        if _BEFORE_LEVEL.fullmatch(line, start, head):
             return False  # a list level or an ordinal at the beginning
-        if len(number) <= 3 and GERMAN.search(line):
+        if len(number) <= 3 and _german(line):
             return False
         return not _lower(line, after)
     if before.isupper() and before.isascii() and (at < 2 or not line[at - 2].isalnum()):
@@ -208,6 +273,7 @@ def line_starts(line: str) -> list[int]:
     marks = [m.start() for m in _MARKS.finditer(line)]
     thai = bool(_THAI.search(line))
     pairs = _matches(line, [i for i in marks if line[i] in PAIRS or line[i] in _CLOSE or line[i] == '"']) if marks else {}
+    closers = set(pairs.values())
     list_mark = _LIST_MARK.match(line)
     i, covered = 0, list_mark.end() if list_mark and list_mark.end() < len(line) else 0
     thai_from = first
@@ -248,7 +314,7 @@ def line_starts(line: str) -> list[int]:
         while i < len(marks) and marks[i] <= stop:
             i += 1
         end = stop + 1
-        while end < len(line) and (line[end] in "”’»」』）)】\"" and end not in pairs and end not in pairs.values()):
+        while end < len(line) and (line[end] in "”’»」』）)】\"" and end not in pairs and end not in closers):
             end += 1
         after = _skip(line, end)
         if after >= len(line):
@@ -257,7 +323,7 @@ def line_starts(line: str) -> list[int]:
         if any(c in ALWAYS for c in run):
             if "…" in run and not any(c in "。！？" for c in run):
                 continue
-            if run[-1] in "！" and follow.isdigit() and after > end and _CJK.search(line):
+            if run[-1] in "！" and follow.isdigit() and after > end and _holds_cjk(line):
                 continue
             if follow in "、，,；;」』）)":
                 continue
@@ -285,28 +351,28 @@ def line_starts(line: str) -> list[int]:
     return starts
 
 
-def sentence_spans(text: str | None) -> list[tuple[int, int, int, bool]]:
-    """(line_no, start, end, first of its line) of every sentence, in code points; null and blank texts have none."""
-    out: list[tuple[int, int, int, bool]] = []
-    at = 0
+def sentence_spans(text: str | None) -> list[tuple[int, int, int, int, bool]]:
+    """(line_no, list level, start, end, first of its line) of every sentence, in code points; null and blank texts have none."""
+    out: list[tuple[int, int, int, int, bool]] = []
+    at, levels = 0, Levels()
     for number, line in enumerate((text or "").split("\n"), 1):
-        starts = line_starts(line)
+        starts, level = line_starts(line), levels.line(line)
         for k, start in enumerate(starts):
             end = starts[k + 1] if k + 1 < len(starts) else len(line)
-            out.append((number, at + start, at + len(line[:end].rstrip(_BLANKS)), k == 0))
+            out.append((number, level, at + start, at + start + len(line[start:end].rstrip(_BLANKS)), k == 0))
         at += len(line) + 1
     return out
 
 
-SPANS = "field string, rec_id string, line_no int, start_pos int, end_pos int, is_first boolean, sentence string"
+SPANS = "field string, rec_id string, line_no int, list_level int, start_pos int, end_pos int, is_first boolean, sentence string"
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
         for field, rec_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-            for line_no, start, end, is_first in sentence_spans(text):
-                rows.append((field, rec_id, line_no, start, end, is_first, text[start:end]))
+            for line_no, level, start, end, is_first in sentence_spans(text):
+                rows.append((field, rec_id, line_no, level, start, end, is_first, text[start:end]))
             if len(rows) > 50_000:
                 yield _batch(rows)
                 rows = []
@@ -314,9 +380,9 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 7
-    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
-    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["field", "rec_id", "line_no", "start_pos", "end_pos", "is_first", "sentence"])
+    columns = list(zip(*rows)) or [()] * 8
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["field", "rec_id", "line_no", "list_level", "start_pos", "end_pos", "is_first", "sentence"])
 
 
 def sentence_units(texts: DataFrame) -> DataFrame:
