@@ -24,7 +24,7 @@ from weftline.runtime import spread
 KINDS = ["email", "phone", "id_number", "address", "person"]
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 DIMS = 1 << 17
-MAX_TOKENS = 256  # a longer sequence is cut at a mark or blank, none of it is left out
+AREA = 1 << 17  # tokens, with padding, that are decoded together; a longer sequence is decoded alone and whole
 
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {0x3000: 0x20, 0xA0: 0x20} | {ord(c): "-" for c in "‐‑‒–—―−－"}
 _TOKEN = re.compile(r"[A-Za-zÀ-ɏ]+|[0-9]+|[぀-ヿ㐀-鿿々〆𠀀-𯿿가-힣]|[^\W\d_]+|\d+|[^\s]")
@@ -129,24 +129,11 @@ class Coded:
             breaks[at[at < n]] = True
             stops = [i + 1 for i, t in enumerate(tokens) if t in _SENTENCE_END and not (t in "!?" and text[self.ends[i] : self.ends[i] + 1] in "\"”'")]
             breaks[[i for i in stops if i < n]] = True
-            self._split_long(breaks, tokens)
         self.first = np.flatnonzero(breaks)
         self.length = np.diff(np.r_[self.first, n])
         self.sequence = np.cumsum(breaks) - 1
         self.features = self._features(tokens, ids, names)
 
-    def _split_long(self, breaks: np.ndarray, tokens: list[str]) -> None:
-        first = [*np.flatnonzero(breaks), len(tokens)]
-        for a, b in zip(first, first[1:]):
-            while b - a > MAX_TOKENS:
-                cut = a + MAX_TOKENS
-                for back in range(cut, cut - MAX_TOKENS // 2, -1):
-                    if tokens[back - 1] in ".,;:、，,；：)）」』" and self.starts[back] >= self.ends[back - 1] and not tokens[back].isdigit():
-                        cut = back
-                        break
-                breaks[cut] = True
-                a = cut
-
     def _spans(self, pattern: re.Pattern) -> np.ndarray:
         """First token and the one after the last of each match."""
         found = [m.span() for m in pattern.finditer(self.text)]
@@ -257,8 +244,14 @@ class Field:
         emit = self.scores(coded.features)
         best = np.zeros(len(emit), np.int64)
         order = np.argsort(coded.length, kind="stable")
-        for low in range(0, len(order), 512):
-            part = order[low : low + 512]
+        low = 0
+        while low < len(order):
+            # sequences of up to a quarter more tokens than the shortest, in all AREA at most
+            most = max(int(coded.length[order[low]] * 1.25), 8)
+            high = int(np.searchsorted(coded.length[order], most, "right"))
+            high = max(low + 1, min(high, low + AREA // most))
+            part = order[low:high]
+            low = high
             lengths, firsts = coded.length[part], coded.first[part]
             width = int(lengths[-1])
             rows = firsts[:, None] + np.minimum(np.arange(width), lengths[:, None] - 1)
@@ -369,7 +362,7 @@ def trained(per_carrier: int = 24, seed: int = 11) -> Field:
     from weftline.llm import pii_labels as L
 
     some = [(n, "family") for n in L.JA_FAMILY[::3]] + [(n, "given") for n in L.JA_GIVEN[::3]]
-    some += [(h + e, "family") for h in L.LATIN_HEADS for e in L.LATIN_ENDS[::3]] + [(h + e, "given") for h in L.GIVEN_HEADS for e in L.GIVEN_ENDS[::3]]
+    some += [(n, "family") for n in (L.EN_FAMILY + L.DE_FAMILY + L.FR_FAMILY)[::3]] + [(n, "given") for n in (L.EN_GIVEN + L.DE_GIVEN + L.FR_GIVEN)[::3]]
     return train(labelled_table(per_carrier, seed), Names(some))
 
 
