@@ -148,12 +148,13 @@ def test_sentences_without_a_blank_between():
 def test_quotations_are_no_menus(spark):
     quoted = "« Gardons musée. Ouvrons réserve. », a lancé Quisander de {} et Mme Ulvering attend 3 visiteurs pour le catalogue"
     own = [quoted.format("Mio"), "The grant covers prints and/or maps", "He said a > b. Then the board of the town left it at that, with no end"]
-    docs = [(f"d{i}", "t", f"Menu {i} | Search\nSend/Print\nHome > News > Town {chr(97 + i)} opens a hall of many rooms for all the people\n{quoted.format(chr(97 + i))}", "u", "s", f"p{i}", 1) for i in range(20)]
-    docs.append(("e", "t", "\n".join([*own, "Send/Print"]), "u", "t", "q", 1))
+    docs = [(f"d{i}", "t", f"Menu {i} | Search\nSend/Print\nHome > News > Town {chr(97 + i)} opens a hall of many rooms for all the people\n{quoted.format(chr(97 + i))}\nOnly at s", "u", "s", f"p{i}", 1) for i in range(20)]
+    docs += [("e", "t", "\n".join([*own, "Send/Print", "Only at s"]), "u", "t", "q", 1)]
+    docs += [(f"r{i}", "t", "Send/Print\nThe words of a story, each its own " + chr(97 + i), "u", "r", f"r{i}", 1) for i in range(12)]
     empty = spark.createDataFrame([], "item_id bigint, source_id string, body string, url string")
     src = spark.createDataFrame([], "id string, name string")
     found = {tuple(r)[1:] for r in boilerplate.page_furniture(spark.createDataFrame(docs, DOCS), empty, src).collect()}
-    assert found == {(f"d{i}", n) for i in range(20) for n in (1, 2, 3)} | {("e", 4)}
+    assert found == {(f"d{i}", n) for i in range(20) for n in (1, 2, 3, 5)} | {(f"r{i}", 1) for i in range(12)} | {("e", 4)}  # one host's vote settles nothing elsewhere
 
 
 def test_list_levels():

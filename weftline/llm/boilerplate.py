@@ -5,7 +5,7 @@ and width, one blank for many, numbers, the publisher's name and the short segme
 of a trail of links (`Home > News > ...`) the links without the page's title at the end, and of an unterminated line
 with a label (`Read next: ...`) the label alone. Each page scores its lines by form, and the
 pages of a host vote: a path that many of its pages hold, more than an article's sentences ever recur, or that the
-vote of other hosts has settled, is the page's. Every page is then read again and the lines of such paths come out.
+votes of two other hosts have settled, is the page's. Every page is then read again and the lines of such paths come out.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ LINES = "field string, rec_id string, host string, line_no int, path bigint, is_
 MIN_PAGES = 3  # pages of a host that must hold a path before the host's vote can settle it
 MIN_SHARE = 0.08  # lower bound of the share of a host's pages that a page's own path reaches
 CONSENSUS_PAGES = 8  # pages a host's vote needs before it counts at other hosts
+CONSENSUS_HOSTS = 2  # hosts that must have settled a path so before it counts at others
 CONFIDENCE = 1.64
 MENU_SEGMENT = 40  # characters that an entry of a menu has at most
 
@@ -143,7 +144,7 @@ def winning_paths(votes: DataFrame, sizes: DataFrame) -> DataFrame:
     # the better a path scores as an article's line, the more pages must hold it
     needed = F.lit(MIN_SHARE) * F.when(F.col("score") > 0.5, 1.25).otherwise(1.0)
     won = votes.where((F.col("held") >= MIN_PAGES) & (bound >= needed))
-    settled = won.where(F.col("held") >= CONSENSUS_PAGES).select("path").distinct()
+    settled = won.where(F.col("held") >= CONSENSUS_PAGES).groupBy("path").agg(F.count("*").alias("hosts")).where(F.col("hosts") >= CONSENSUS_HOSTS).select("path")
     elsewhere = votes.join(settled, "path", "left_semi").select("host", "path")
     return won.select("host", "path").unionByName(elsewhere).distinct()
 
