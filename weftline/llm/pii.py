@@ -90,19 +90,20 @@ class Names:
             self.automaton.make_automaton()
         self.low = {t.lower(): k for t, k in self.kind.items() if t.isascii()}
 
-    def flags(self, text: str, tokens: list[str], starts: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(tokens), np.int64)
+    def flags(self, text: str, words: list[str], which: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each token of a text its place in a listed name, if any; which: the tokens as places in words."""
+        out = np.zeros(len(which), np.int64)
         if self.wide:
             for end, (size, kind) in self.automaton.iter_long(text):
                 a, b = np.searchsorted(starts, (end - size + 1, end + 1))
                 out[a:b] = kind * 2 + 1
                 if a < b:
                     out[a] = kind * 2
-        low = self.low
-        if low:
-            for i, t in enumerate(tokens):
-                if len(t) > 2 and t[0] < "ɐ" and (kind := low.get(t.lower())):
-                    out[i] = kind * 2
+        if self.low:
+            listed = np.array([2 * self.low.get(t.lower(), 0) if len(t) > 2 and t[0] < "ɐ" else 0 for t in words] or [0], np.int64)
+            if listed.any():
+                found = listed[which]
+                out = np.where(found > 0, found, out)
         return out
 
 
@@ -120,7 +121,10 @@ class Coded:
         self.ends = np.array([b for _, b in spans], np.int64)
         tokens = [text[a:b] for a, b in spans]
         n = len(tokens)
-        ids = np.array([_word_ids(t) for t in tokens], np.int64).reshape(n, 4)
+        # each distinct token is looked at once
+        place: dict[str, int] = {}
+        which = np.fromiter((place.setdefault(t, len(place)) for t in tokens), np.int64, n)
+        ids = np.array([_word_ids(t) for t in place], np.int64).reshape(len(place), 4)[which]
         breaks = np.zeros(n, bool)
         if n:
             breaks[0] = True
@@ -132,7 +136,7 @@ class Coded:
         self.first = np.flatnonzero(breaks)
         self.length = np.diff(np.r_[self.first, n])
         self.sequence = np.cumsum(breaks) - 1
-        self.features = self._features(tokens, ids, names)
+        self.features = self._features(names.flags(text, list(place), which, self.starts), ids)
 
     def _spans(self, pattern: re.Pattern) -> np.ndarray:
         """First token and the one after the last of each match."""
@@ -163,8 +167,8 @@ class Coded:
                     out[b:high] = _UP[: high - b]
         return out
 
-    def _features(self, tokens: list[str], ids: np.ndarray, names: Names) -> np.ndarray:
-        n = len(tokens)
+    def _features(self, gaz: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        n = len(ids)
         if not n:
             return np.zeros((0, 1), np.int32)
         word, shape, affix, script = ids.T
@@ -195,7 +199,6 @@ class Coded:
         hon, left = self._near(HONORIFIC, True, 9), self._near(LEFT_CUE, False, 4)
         cues = np.minimum(self._near(PHONE_CUE, False, 12), 1) + 2 * np.minimum(self._near(ID_CUE, False, 12), 1) + 4 * np.minimum(self._near(OTHER_CUE, False, 5), 1) + 8 * np.minimum(self._near(MAIL_CUE, False, 4), 1)
         street_near = np.minimum(self._near(STREET, True, 14), 1) + 2 * np.minimum(self._near(STREET, False, 10), 1)
-        gaz = names.flags(self.text, tokens, self.starts)
         blank = np.zeros(n, np.int64)
         blank[1:] = self.starts[1:] > self.ends[:-1]
         # the token after the run of name-like tokens
@@ -234,9 +237,14 @@ class Field:
         self.weights, self.moves, self.begin = weights, moves, begin
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        out = np.empty((len(features), len(LABELS)), np.float32)
-        for low in range(0, len(features), 8192):
-            out[low : low + 8192] = self.weights[features[low : low + 8192]].sum(axis=1)
+        out = np.zeros((len(features), len(LABELS)), np.float32)
+        held = np.empty((4096, len(LABELS)), np.float32)
+        for low in range(0, len(features), 4096):
+            part = out[low : low + 4096]
+            # one feature of all tokens at a time, so that what is summed up stays in the cache
+            for column in np.ascontiguousarray(features[low : low + 4096].T):
+                np.take(self.weights, column, axis=0, out=held[: len(part)], mode="clip")
+                part += held[: len(part)]
         return out
 
     def viterbi(self, coded: Coded) -> np.ndarray:
