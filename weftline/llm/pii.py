@@ -74,6 +74,12 @@ def _word_ids(word: str) -> tuple[int, int, int, int]:
     return _hash(word), _hash(word), _hash(word), 8
 
 
+@lru_cache(maxsize=100_000)
+def _number_form(value: str) -> tuple[int, int]:
+    """How many digits a number has, and its form with their counts, as a hash."""
+    return sum(ch.isdigit() for ch in value), _hash("form" + re.sub(r"\d+", lambda d: str(len(d[0])), value))
+
+
 class Names:
     """Name list: spans of listed names in a text, whole words where the script has words."""
 
@@ -116,6 +122,7 @@ class Coded:
 
     def __init__(self, text: str, names: Names):
         self.text = text = text.translate(_WIDE)
+        self.found: dict[re.Pattern, tuple[np.ndarray, np.ndarray]] = {}
         spans = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
         self.starts = np.array([a for a, _ in spans], np.int64)
         self.ends = np.array([b for _, b in spans], np.int64)
@@ -139,9 +146,11 @@ class Coded:
         self.features = self._features(names.flags(text, list(place), which, self.starts), ids)
 
     def _spans(self, pattern: re.Pattern) -> np.ndarray:
-        """First token and the one after the last of each match."""
-        found = [m.span() for m in pattern.finditer(self.text)]
-        return np.searchsorted(self.starts, np.array(found, np.int64).reshape(-1, 2))
+        """First token and the one after the last of each match; each pattern goes over the text once."""
+        if pattern not in self.found:
+            places = np.array([m.span() for m in pattern.finditer(self.text)], np.int64).reshape(-1, 2)
+            self.found[pattern] = places, np.searchsorted(self.starts, places)
+        return self.found[pattern][1]
 
     def _mark(self, pattern: re.Pattern, kind: int, flags: np.ndarray) -> None:
         for a, b in self._spans(pattern).tolist():
@@ -189,10 +198,8 @@ class Coded:
         self._mark(NUMBER, 2, flags)
         digits = np.zeros(n, np.int64)
         forms = np.zeros(n, np.int64)
-        values = NUMBER.findall(self.text)
-        for (a, b), value in zip(self._spans(NUMBER).tolist(), values):
-            digits[a:b] = sum(ch.isdigit() for ch in value)
-            forms[a:b] = _hash("form" + re.sub(r"\d+", lambda d: str(len(d[0])), value))
+        for (a, b), (low, high) in zip(self._spans(NUMBER).tolist(), self.found[NUMBER][0].tolist()):
+            digits[a:b], forms[a:b] = _number_form(self.text[low:high])
         self._mark(EMAIL, 1, flags)
         street = np.zeros(n, np.int64)
         self._mark(STREET, 1, street)
