@@ -102,7 +102,9 @@ def brute_blocks(rows):
 def test_blocks_of_several_lines(spark):
     long = [f"line {chr(97 + i)}" for i in range(23)]
     rows = [(f"d{i}", "", "\n".join([f"start {chr(97 + i)}", *long[i % 3 :], f"end {chr(97 + i)}", *long[:7]]), "", "s", f"p{i}", 1) for i in range(12)]
-    for table in (rows, line_sample()):
+    rng = random.Random(8)
+    mixed = [(f"m{i}", "", "\n".join("stem " + "".join(rng.choices("pq", k=1)) if rng.random() < 0.8 else f"own {i} " + rng.choice("xyz") for _ in range(rng.randrange(4, 14))), "", "s", f"p{i}", 1) for i in range(40)]
+    for table in (rows, mixed, line_sample()):
         docs = spark.createDataFrame(table, DOCS)
         one = site_lines.distinct_docs(docs)
         blocks = site_lines.repeated_blocks(one, site_lines.line_keys(one)).collect()

@@ -115,11 +115,6 @@ def _blocks(heavy: int):
     return run
 
 
-def basket_numbers(pairs: DataFrame) -> DataFrame:
-    """(doc_id, unit, bid): a number for each basket, fixed by being written."""
-    return cut(pairs.select("doc_id", "unit").distinct().withColumn("bid", F.monotonically_increasing_id()), "bids")
-
-
 def count_pairs(pairs: DataFrame, freq: DataFrame, min_df: int, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
     """Counts (ia, ib, cnt) by item number, and the numbered items (node_id, df, iid)."""
     frequent = freq.where(F.col("df") >= min_df).select("node_id", "df")
@@ -128,11 +123,7 @@ def count_pairs(pairs: DataFrame, freq: DataFrame, min_df: int, heavy: int = HEA
     top = cut(top.withColumn("iid", (F.row_number().over(Window.orderBy(F.desc("df"), "node_id")) - 1).cast("bigint")), "heavy")
     rest = frequent.join(F.broadcast(top.select("node_id")), "node_id", "left_anti")
     rest = cut(rest.withColumn("iid", F.lit(heavy) + F.monotonically_increasing_id()), "light")
-    bids = basket_numbers(pairs)
-    numbered = pairs.select("doc_id", "unit", "node_id").alias("p").join(
-        bids.alias("b"),
-        F.col("p.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("p.unit").eqNullSafe(F.col("b.unit")),
-    ).select("bid", "node_id")
+    numbered = pairs.select("bid", "node_id")
     # hot items meet a broadcast table; what is left for the shuffled join has no hot key
     tokens = numbered.join(F.broadcast(top), "node_id").select("bid", "iid")
     tokens = tokens.unionByName(numbered.join(rest, "node_id").select("bid", "iid"))
@@ -148,7 +139,6 @@ def associated_pairs(baskets: DataFrame, min_df: int = 4, min_cooc: int = 3, min
     and repeated rows don't count twice.
     """
     pairs, n = graph_pairs(baskets)
-    pairs = cut(pairs, "kept")
     freq = cut(term_frequencies(pairs), "freq")
     counts, items = count_pairs(pairs, freq, min_df)
     a = items.select(F.col("iid").alias("ia"), F.col("node_id").alias("na"), F.col("df").alias("da"))

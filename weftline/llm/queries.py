@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from weftline.llm import boilerplate, encode, history, mixing, pairs, pii, sentences, site_lines, terms
 from weftline.runtime import table
 
@@ -56,7 +58,7 @@ def p7_found(spark, d):
 
 
 def p7_pair_scores(spark, d):
-    return pairs.associated_pairs(table(spark, d, "baskets")).selectExpr("a", "b", "cooc", "round(npmi, 6) npmi")
+    return pairs.associated_pairs(table(spark, d, "baskets")).selectExpr("a", "b", "cooc", "round(npmi, 6) npmi", "round(lift, 6) lift")
 
 
 def p8_ids(spark, d):
@@ -86,11 +88,22 @@ def p10_redacted(spark, d):
     return pii.redacted_documents(table(spark, d, "documents"), table(spark, d, "name_list"))
 
 
-#: Fixed value: the full-width forms and their ASCII counterparts, which is all of NFKC that the ids in baskets need.
+#: The full-width forms with their ASCII counterparts and the half-width kana with theirs: all of NFKC that the ids in baskets need.
 WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
 ASCII = "".join(map(chr, range(0x21, 0x7F)))
+_HALF = "".join(map(chr, range(0xFF61, 0xFFA0)))
+_KANA = "".join(unicodedata.normalize("NFKC", c) for c in _HALF)
+_VOICED = [(c + m, unicodedata.normalize("NFKC", c + m)) for m in "ﾞﾟ" for c in _HALF if len(unicodedata.normalize("NFKC", c + m)) == 1]
+
+
+def _nfkc(x: str) -> str:
+    for two, one in _VOICED:
+        x = f"replace({x}, '{two}', '{one}')"
+    return f"translate({x}, '{WIDE}{_HALF}', '" + ASCII.replace("'", "''") + _KANA + "')"
+
+
 _BLANK = r"[\s\x{3000}\x{A0}]+"
-_FOLD = "lower(regexp_replace(translate(node, '" + WIDE + "', '" + ASCII.replace("'", "''") + f"'), '^{_BLANK}|{_BLANK}$', '', 'g'))"
+_FOLD = f"lower(regexp_replace({_nfkc('node')}, '^{_BLANK}|{_BLANK}$', '', 'g'))"
 _PAIRS = f"""
 with folded as (
   select doc_id, unit, {_FOLD} as node_id from (select doc_id, unit, unnest(nodes) as node from baskets) where node is not null),
@@ -106,11 +119,12 @@ _SCORED = _PAIRS + """,
 cooc as (select x.node_id as a, y.node_id as b, count(*) as cooc from used x join used y
   on x.doc_id is not distinct from y.doc_id and x.unit is not distinct from y.unit and x.node_id < y.node_id group by all having count(*) >= 3),
 scored as (select a, b, cooc, case when cooc = n then 1.0 else
-   ln((cooc / n::double) / ((fa.df / n::double) * (fb.df / n::double))) / -ln(cooc / n::double) end as npmi
+   ln((cooc / n::double) / ((fa.df / n::double) * (fb.df / n::double))) / -ln(cooc / n::double) end as npmi,
+   (cooc / n::double) / ((fa.df / n::double) * (fb.df / n::double)) as lift
   from cooc join freq fa on fa.node_id = a join freq fb on fb.node_id = b, n where fa.df >= 4 and fb.df >= 4)
 """
 #: Fixed value: of NFKC, what the lines of docs hold beside full-width forms: half-width kana marks and such have no letters.
-_LETTERS = "regexp_replace(lower(translate(line, '" + WIDE + "', '" + ASCII.replace("'", "''") + "')), '[^\\p{L}]', '', 'g')"
+_LETTERS = "regexp_replace(lower(" + _nfkc("line") + "), '[^\\p{L}]', '', 'g')"
 _SITE = f"""
 one as (select doc_id, arg_min(source, path) as source, arg_min(body, path) as body from docs
   where doc_id is not null and source is not null group by doc_id),
@@ -182,5 +196,5 @@ SQL = {
     "p1_found": _PAIRS + "select node_id, mark from marked where mark is not null",
     "p1_term_frequencies": _PAIRS + "select * from marked",
     "p7_found": _SCORED + "select a, b from scored where npmi >= 0.25",
-    "p7_pair_scores": _SCORED + "select a, b, cooc, round(npmi, 6) as npmi from scored where npmi >= 0.25",
+    "p7_pair_scores": _SCORED + "select a, b, cooc, round(npmi, 6) as npmi, round(lift, 6) as lift from scored where npmi >= 0.25",
 }

@@ -101,29 +101,40 @@ def repeated_blocks(one: DataFrame, keys: DataFrame, min_docs: int = 3, min_shar
         level = _frequent(twice, sizes, min_docs, min_share, "level")
     if not levels:
         return spark.createDataFrame([], "source string, doc_id string, at int, n_lines int, rank binary, docs bigint")
-    # the longest power of two at each line, then what of the lesser powers it can be followed by
-    best = levels[0].withColumn("n_lines", F.lit(1))
-    for k, level in enumerate(levels[1:], 1):
-        longer = level.select("source", "doc_id", "at", F.col("rank").alias("new_rank"), F.col("docs").alias("new_docs"))
-        best = _longer(best, longer, F.lit(1 << k))
-    best = cut(best, "blocks")
+    # at each line the longest power of two, then what of the lesser powers it can be followed by
+    state = None
+    for k, level in enumerate(levels):
+        rows = level.withColumn("n_lines", F.lit(1 << k)).withColumn("real", F.lit(True))
+        if k + 1 < len(levels):
+            longer = levels[k + 1].select("doc_id", "at", F.lit(True).alias("grows"))
+            rows = _remaining(cut(rows.join(longer, ["doc_id", "at"], "left").withColumn("grows", F.coalesce("grows", F.lit(False))), "blocks"))
+        state = rows if state is None else state.unionByName(rows)
+    state = cut(state, "blocks")
     for k in range(len(levels) - 2, -1, -1):
-        tried = joined(best, levels[k], None).where(F.col("n_lines") >= 1 << (k + 1))
-        found = _frequent(tried.select("source", "doc_id", "at", F.concat(F.col("n_lines").cast("string").cast("binary"), pair("rank", "then_rank")).alias("rank")), sizes, min_docs, min_share, "level")
+        tried = joined(state.where(F.col("n_lines") >= 1 << (k + 1)), levels[k], None)
+        # the number of lines goes into the rank, so ranks of all lengths are counted together
+        named = F.concat(F.col("n_lines").cast("string").cast("binary"), pair("rank", "then_rank"))
+        found = _frequent(tried.select("source", "doc_id", "at", "n_lines", named.alias("rank")), sizes, min_docs, min_share, "level")
         if found is not None:
-            longer = found.select("source", "doc_id", "at", F.col("rank").alias("new_rank"), F.col("docs").alias("new_docs"))
-            best = cut(_longer(best, longer, F.col("n_lines") + (1 << k)), "blocks")
+            longer = found.select("doc_id", "at", "n_lines", F.col("rank").alias("new_rank"), F.col("docs").alias("new_docs"))
+            met = cut(state.join(longer, ["doc_id", "at", "n_lines"], "left").withColumn("grows", F.col("new_rank").isNotNull()), "blocks")
+            grown = met.where("grows").select("source", "doc_id", "at", (F.col("n_lines") + (1 << k)).alias("n_lines"), F.col("new_rank").alias("rank"), F.col("new_docs").alias("docs"), "real")
+            state = cut(grown.unionByName(_remaining(met).select(grown.columns)), "blocks")
+    best = state.where("real").drop("real")
     ends = F.col("at") + F.col("n_lines")
     # within one document
     before = Window.partitionBy("doc_id").orderBy("at")
     return best.withColumn("last_end", F.lag(ends).over(before)).where(F.col("last_end").isNull() | (F.col("last_end") < ends)).drop("last_end")
 
 
-def _longer(best: DataFrame, longer: DataFrame, n_lines) -> DataFrame:
-    met = best.join(longer, ["source", "doc_id", "at"], "left")
-    new = F.col("new_rank").isNotNull()
-    value = lambda a, b: F.when(new, a).otherwise(F.col(b)).alias(b)
-    return met.select("source", "doc_id", "at", value(n_lines, "n_lines"), value(F.col("new_rank"), "rank"), value(F.col("new_docs"), "docs"))
+def _remaining(rows: DataFrame) -> DataFrame:
+    """Rows that don't grow, and beside them those that do, as counted only (not real), where both have one rank.
+
+    So whatever is counted later, all documents of a rank take part in it.
+    """
+    stay = rows.where("not grows")
+    shadows = rows.where("grows").join(stay.select("source", "rank").distinct(), ["source", "rank"], "left_semi").withColumn("real", F.lit(False))
+    return stay.unionByName(shadows).drop("grows")
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = 3, min_share: float = 0.15) -> DataFrame:

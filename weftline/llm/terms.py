@@ -11,45 +11,52 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.text import fold_id_udf
+from weftline.functions.text import fold_id
 from weftline.runtime import cut
 
 RUNS = "node_id string, occurrences bigint, df bigint"
 
 
+PAIRS = "doc_id string, unit int, node_id string, occ bigint"
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, unit, node_id, occ) of rows (doc_id, unit, nodes), added up within each batch; each spelling is folded once a batch."""
+    for batch in batches:
+        doc_id, unit, nodes = batch.columns
+        row = pc.list_parent_indices(nodes)
+        coded = pc.list_flatten(nodes).dictionary_encode()
+        ids = pa.array([fold_id(v) or None for v in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+        table = pa.table([doc_id.take(row), unit.take(row), ids], ["doc_id", "unit", "node_id"]).filter(pc.is_valid(ids))
+        summed = table.group_by(["doc_id", "unit", "node_id"]).aggregate([([], "count_all")]).select(["doc_id", "unit", "node_id", "count_all"])
+        yield from summed.rename_columns(["doc_id", "unit", "node_id", "occ"]).combine_chunks().to_batches()
+
+
 def basket_pairs(baskets: DataFrame) -> DataFrame:
     """Distinct (doc_id, unit, node_id) with occ, how often the node stands in the basket's rows.
 
     Node ids are folded (NFKC, trimmed, lower case). Null arrays and elements and ids that fold to nothing give
-    no row. Null doc_id or unit is a key of its own, as in SQL's DISTINCT. Further columns are ignored. The count
-    is combined on the map side, so a basket repeated any number of times is one row a partition.
+    no row. Null doc_id or unit is a key of its own, as in SQL's DISTINCT. Further columns are ignored. Counts are
+    added up before the shuffle, so a basket repeated any number of times is one row a batch; the rows of a basket come
+    to one partition, which the steps after it use.
     """
-    raw = baskets.select("doc_id", "unit", F.explode("nodes").alias("node")).where("node is not null")
-    # equal spellings meet before Python sees them
-    raw = raw.groupBy("doc_id", "unit", "node").agg(F.count("*").alias("occ"))
-    folded = raw.select("doc_id", "unit", fold_id_udf("node").alias("node_id"), "occ").where("node_id <> ''")
-    return folded.groupBy("doc_id", "unit", "node_id").agg(F.sum("occ").alias("occ"))
-
-
-def kept_baskets(pairs: DataFrame) -> DataFrame:
-    """(doc_id, unit) of the baskets with at least two distinct nodes: min and max differ."""
-    ends = pairs.groupBy("doc_id", "unit").agg(F.min("node_id").alias("low"), F.max("node_id").alias("high"))
-    return ends.where("low < high").select("doc_id", "unit")
+    folded = baskets.select("doc_id", F.col("unit").cast("int").alias("unit"), "nodes").where("nodes is not null").mapInArrow(_folded, PAIRS)
+    return folded.repartition("doc_id", "unit").groupBy("doc_id", "unit", "node_id").agg(F.sum("occ").alias("occ"))
 
 
 def graph_pairs(baskets: DataFrame) -> tuple[DataFrame, int]:
-    """basket_pairs of the kept baskets, as a written table, and their number N."""
-    pairs = cut(basket_pairs(baskets), "pairs")
-    kept = cut(kept_baskets(pairs), "baskets")
-    joined = pairs.alias("p").join(
-        kept.alias("k"),
-        F.col("p.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("p.unit").eqNullSafe(F.col("k.unit")),
-        "left_semi",
-    )
-    return joined, kept.count()
+    """(doc_id, unit, node_id, occ, bid) of the baskets with at least two distinct nodes, as a written table, and their number N.
+
+    bid is a number of the basket, fixed by being written. A basket's distinct nodes are what one task holds at a time.
+    """
+    own = Window.partitionBy("doc_id", "unit")
+    numbered = basket_pairs(baskets).withColumn("row", F.monotonically_increasing_id())
+    numbered = numbered.withColumn("bid", F.min("row").over(own)).withColumn("n_nodes", F.count("*").over(own))
+    kept = cut(numbered.where("n_nodes > 1").withColumn("is_first", F.col("row") == F.col("bid")).drop("row", "n_nodes"), "pairs")
+    return kept.drop("is_first"), kept.where("is_first").count()
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
