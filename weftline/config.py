@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 
 try:
     import yaml
-except ImportError:  # a settings file then can't be read, defaults hold
+except ImportError:  # a settings file then can't be read
     yaml = None
 
 
@@ -31,8 +31,10 @@ class Config:
     @classmethod
     def load(cls, path: str | None) -> Config:
         """Settings of a YAML file; a missing file gives the defaults, unknown keys are ignored, `trend` is nested."""
-        if not path or not os.path.exists(path) or yaml is None:
+        if not path or not os.path.exists(path):
             return cls()
+        if yaml is None:
+            raise RuntimeError(f"{path}: no YAML reader is installed")
         with open(path, encoding="utf-8") as file:
             given = yaml.safe_load(file) or {}
         trend = given.pop("trend", None) or {}

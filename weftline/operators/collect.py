@@ -61,8 +61,9 @@ def new_items(items: DataFrame, history: DataFrame) -> DataFrame:
     fresh = items.join(history.select("doc_id").distinct(), "doc_id", "left_anti")
     by_id = Window.partitionBy("doc_id").orderBy("seq")
     fresh = fresh.withColumn("key", S.title_key(F.col("title"))).withColumn("nth", F.row_number().over(by_id)).where("nth = 1").drop("nth")
-    by_title = Window.partitionBy("key").orderBy("seq")
-    first = fresh.withColumn("nth", F.when(F.coalesce("key", F.lit("")) == "", F.lit(1)).otherwise(F.row_number().over(by_title)))
+    # titles without a key are groups of their own, so they don't meet in one task
+    by_title = Window.partitionBy(F.coalesce(F.nullif("key", F.lit("")), F.concat(F.lit("\0"), "doc_id"))).orderBy("seq")
+    first = fresh.withColumn("nth", F.row_number().over(by_title))
     return first.where("nth = 1").drop("nth", "key")
 
 
