@@ -74,6 +74,24 @@ def test_cells_keep_their_languages_under_caps():
         mixing.cell_weights(cells, targets, {"ja": 0.99})
 
 
+def test_raking_gives_the_weights(monkeypatch):
+    """What goes into the fit isn't its result yet, and each marginal moves the weights."""
+    import pandas as pd
+
+    cells = pd.DataFrame([("a", "ja", 100, 1), ("a", "en", 50, 1), ("b", "ja", 30, 1), ("b", "en", 70, 1), ("c", "ja", 0, 1)], columns=["source", "lang", "tokens", "docs"])
+    targets = pd.DataFrame({"source": list("abc"), "target_share": [0.2, 0.5, 0.3], "max_repeats": [1, None, 1]})
+    calls = []
+    rake = mixing.rake
+    monkeypatch.setattr(mixing, "rake", lambda *a: calls.append(a) or rake(*a))
+    for of_lang in (None, {"ja": 0.5}):
+        got = mixing.cell_weights(cells, targets, of_lang)["weight"].to_numpy()
+        tokens, margins, cap, *start = calls.pop()
+        full = tokens > 0
+        assert not np.allclose(got[full], np.minimum(start[0] if start else np.ones(len(tokens)), cap)[full])
+        for i in range(len(margins)):
+            assert not np.allclose(rake(tokens, margins[:i] + margins[i + 1 :], cap, *start)[full], got[full])
+
+
 def test_draws(spark):
     import random
 
